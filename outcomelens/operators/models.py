@@ -94,7 +94,7 @@ def one_hot_stages(categorical: Sequence[str], numeric: Sequence[str]) -> list:
             )
         )
         # The slot dropped last is the one StringIndexer keeps for unseen levels.
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True))
         inputs += encoded
     inputs += list(numeric)
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip"))

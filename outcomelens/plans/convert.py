@@ -20,6 +20,6 @@ def convert_csv(
     wanted: Sequence[str] = RAW_COLUMNS,
     schema: T.StructType | None = None,
 ) -> int:
-    """Write the wanted columns as Parquet; returns the row count from the same scan."""
+    """Write the wanted columns as Parquet; returns the row count."""
     raw = read_raw_csv(spark, source, schema)
     return write_parquet(select_wanted(raw, wanted), target)

@@ -90,17 +90,12 @@ def run_linear(
     scored = materialise(scored, "scored", f"{base}/scored")
 
     if AREA in kept and has_key(scored, AREA):
-        write_csv(
-            M.group_metrics(scored, [AREA]).orderBy(AREA), f"{base}/by_community/metrics_csv", True
-        )
-        write_csv(
-            M.accuracy_by_group(scored, [AREA]).orderBy(AREA),
-            f"{base}/by_community/accuracy_csv",
-            True,
-        )
-    points = M.curve_points(scored).orderBy(F.desc("bucket"))
-    write_csv(M.roc_curve(points), f"{base}/curves/roc", True)
-    write_csv(M.pr_curve(points), f"{base}/curves/pr", True)
+        reports = f"{base}/by_community"
+        write_csv(M.group_metrics(scored, [AREA]), f"{reports}/metrics_csv", True, [AREA])
+        write_csv(M.accuracy_by_group(scored, [AREA]), f"{reports}/accuracy_csv", True, [AREA])
+    points = M.curve_points(scored)
+    write_csv(M.roc_curve(points), f"{base}/curves/roc", True, ["fpr", "tpr"])
+    write_csv(M.pr_curve(points), f"{base}/curves/pr", True, ["recall", F.desc("precision")])
     save_model(model, f"{base}/model_fast")
 
     summary = {

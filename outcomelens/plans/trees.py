@@ -122,8 +122,8 @@ def run_trees(
     for key in metric_keys:
         if key in scored.columns:
             name = f"metrics_by_{key.lower().replace(' ', '_')}"
-            reports[name] = M.group_metrics(scored, [key]).orderBy(key)
-            write_csv(reports[name], f"{base}/{name}", True)
+            reports[name] = M.group_metrics(scored, [key])
+            write_csv(reports[name], f"{base}/{name}", True, [quoted(key)])
     note = ", ".join(f"{k}={v}" for k, v in sorted(params.items()))
     bench = M.benchmark_row(
         scored,

@@ -5,28 +5,46 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Overwrite ``path``; returns the row count taken during the same scan."""
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.mode("overwrite")
+    """Overwrite ``path``; returns the row count, read from the new files' footers.
+
+    ``df`` is computed once. (An ``Observation`` would save the footer read, but it
+    leaves the session in a state in which Spark 4.1 cannot ship a freshly fitted
+    logistic model to its tasks.)
+    """
+    writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return int(seen.get["rows"])
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def write_csv(
-    df: DataFrame, path: str, single_file: bool = False, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    single_file: bool = False,
+    order_by: Sequence[str | Column] = (),
+    partition_by: Sequence[str] = (),
 ) -> None:
-    """Headered CSV, overwrite. ``single_file`` is for small report tables only."""
-    out = df.repartition(1) if single_file else df
-    writer = out.write.mode("overwrite").option("header", True)
+    """Headered CSV, overwrite; blanks inside values are kept.
+
+    ``single_file`` is for small report tables only: they are gathered and then
+    sorted, so that the file is in order.
+    """
+    out = gather(df) if single_file else df
+    if order_by:
+        out = out.sortWithinPartitions(*order_by)
+    writer = (
+        out.write.mode("overwrite")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
