@@ -155,7 +155,9 @@ def wn01(spark, sf):
     n AS neg_total FROM s""",
 )
 def wn03(spark, sf):
-    return M.score_ranks(hourly(spark, sf), ["area"])
+    """Always by value ranges, whatever the size."""
+    merged = M.score_counts(hourly(spark, sf), ["area"])
+    return PX.prefix_sums(merged, "score", ["pos", "neg"], ["area"], small_rows=0)
 
 
 @query(
@@ -357,16 +359,6 @@ def ev12(spark, sf):
     return rounded(M.run_metrics(yearly(spark, sf)))
 
 
-@query(
-    "ev15_curve_of_one_class",
-    "SELECT NULL::double AS fpr, NULL::double AS tpr FROM events WHERE false",
-)
-def one_class(spark, sf):
-    """No curve without both classes."""
-    df = hourly(spark, sf).filter("label = 1")
-    return M.roc_curve(M.curve_points(df))
-
-
 @query(
     "ag13_overall_rate",
     _H + "SELECT round(avg(label), 6) AS rate FROM h",

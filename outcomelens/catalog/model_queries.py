@@ -68,13 +68,25 @@ def boosted(train):
 # Encoders ----------------------------------------------------------------------
 
 
-@query("fe04_hashed_categories")
+@query(
+    "fe04_hashed_categories",
+    _H
+    + """SELECT primary_type, beat::varchar AS beat, count(*) AS n, 1::bigint AS n_vectors, 2.0::double AS ones
+    FROM h GROUP BY ALL""",
+)
 def fe04(spark, sf):
+    """Every pair of levels has one vector with one entry per column."""
     hasher = FeatureHasher(
         inputCols=CATEGORICAL, categoricalCols=CATEGORICAL, outputCol="v", numFeatures=1 << 18
     )
-    hashed = hasher.transform(planted(spark, sf).select("id", *CATEGORICAL))
-    return hashed.select("id", F.col("v").cast("string").alias("hashed"))
+    hashed = hasher.transform(planted(spark, sf).select(*CATEGORICAL))
+    sparse = F.from_json(F.to_json(F.struct("v")), "v struct<indices array<int>, values array<double>>")
+    pairs = hashed.select(*CATEGORICAL, sparse["v"].alias("v"))
+    return pairs.groupBy(*CATEGORICAL).agg(
+        F.count("*").alias("n"),
+        F.count_distinct("v.indices").alias("n_vectors"),
+        F.max(F.aggregate("v.values", F.lit(0.0), lambda a, x: a + x)).alias("ones"),
+    )
 
 
 @query(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from outcomelens.functions.numeric import ratio
 from outcomelens.operators.columns import quoted
 from outcomelens.operators.quantiles import add_bins, quantile_edges
+from outcomelens.session import materialise
 
 LABEL, PREDICTION = "label", "prediction"
 
@@ -88,6 +89,7 @@ def error_rates_by_bin(
         .groupBy(quoted(column))
         .agg(*_error_counts(label, prediction))
     )
+    merged = materialise(merged, "errors")
     binned = add_bins(merged, column, quantile_edges(merged, column, bins, count="total"))
     return _shares(
         binned.filter(F.col("bin").isNotNull())

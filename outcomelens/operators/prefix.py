@@ -2,11 +2,16 @@
 
 The building block of ROC and PR areas, thresholds and exact quantiles. Equal
 values are first merged into one row (with map-side combine), which leaves no hot
-key: every (group, value) is one row. The rows are then cut into ``BUCKETS`` value
-ranges of about equal size, whatever the distribution, from approximate
-percentiles of the merged rows. A prefix sum is the total of the lower ranges plus
-the running sum inside the row's own range, so no task sorts a whole group. The
-cut points only place the cuts: any choice of them gives the same exact result.
+key: every (group, value) is one row. The merged table is written once to the
+shared folder, because the steps below read it several times with different
+columns, and the source should be scanned once only.
+
+Its row count is then known. A table of at most ``SMALL_ROWS`` rows takes one
+window per group. A larger one is cut into ``BUCKETS`` value ranges of about equal
+size, whatever the distribution, from approximate percentiles of the merged rows.
+A prefix sum is the total of the lower ranges plus the running sum inside the
+row's own range, so no task sorts a whole group. The cut points only place the
+cuts: any choice of them gives the same exact result.
 """
 
 from __future__ import annotations
@@ -18,19 +23,22 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outcomelens.operators.columns import quoted
+from outcomelens.session import materialise
 
 BUCKETS = 1_024  # a power of two, for the binary search below
+SMALL_ROWS = 100_000
 
 
 def merge_equal(
     df: DataFrame, value: str, measures: Mapping[str, Column], groups: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per group and distinct non-null value, with the summed measures."""
-    return (
+    """One stored row per group and distinct non-null value, with the summed measures."""
+    merged = (
         df.filter(quoted(value).isNotNull())
         .groupBy(*[quoted(c) for c in [*groups, value]])
         .agg(*[F.sum(c).alias(name) for name, c in measures.items()])
     )
+    return materialise(merged, "merged")
 
 
 def _range_index(bounds: Column, value: Column) -> Column:
@@ -47,12 +55,35 @@ def _range_index(bounds: Column, value: Column) -> Column:
 
 
 def prefix_sums(
-    merged: DataFrame, value: str, measures: Sequence[str], groups: Sequence[str] = ()
+    merged: DataFrame,
+    value: str,
+    measures: Sequence[str],
+    groups: Sequence[str] = (),
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Add ``<m>_below`` (sum over strictly lower values) and ``<m>_total`` per group.
 
-    ``merged`` has one row per group and value, as :func:`merge_equal` returns.
+    ``merged`` has one row per group and value and is cheap to read again, as
+    :func:`merge_equal` returns it.
     """
+    if merged.count() <= small_rows:
+        return _whole_groups(merged, value, measures, groups)
+    return _ranged_groups(merged, value, measures, groups)
+
+
+def _whole_groups(
+    merged: DataFrame, value: str, measures: Sequence[str], groups: Sequence[str]
+) -> DataFrame:
+    group = W.partitionBy(*[quoted(c) for c in groups])
+    before = group.orderBy(quoted(value)).rowsBetween(W.unboundedPreceding, -1)
+    below = {f"{m}_below": F.coalesce(F.sum(m).over(before), F.lit(0)) for m in measures}
+    total = {f"{m}_total": F.sum(m).over(group) for m in measures}
+    return merged.withColumns(below | total)
+
+
+def _ranged_groups(
+    merged: DataFrame, value: str, measures: Sequence[str], groups: Sequence[str]
+) -> DataFrame:
     cuts = [i / BUCKETS for i in range(1, BUCKETS)]
     bounds = merged.agg(F.percentile_approx(quoted(value), cuts, F.lit(4 * BUCKETS))).scalar()
 
@@ -64,7 +95,7 @@ def prefix_sums(
         .withColumn("__group", group)
     )
 
-    # At most BUCKETS rows per group from here to the join.
+    # At most BUCKETS rows per group in the two windows over cells.
     cells = rows.groupBy("__group", "__range").agg(*[F.sum(m).alias(f"__{m}_cell") for m in measures])
     lower = W.partitionBy("__group").orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy("__group")

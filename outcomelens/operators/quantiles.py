@@ -14,7 +14,7 @@ from outcomelens.operators.prefix import merge_equal, prefix_sums
 def quantile_edges(merged: DataFrame, value: str, q: int, count: str = "n") -> DataFrame:
     """One row ``edges``: the distinct i/q quantiles, i = 0..q, in ascending order.
 
-    ``merged`` has one row per value and its ``count``. Between two ranks the edge
+    ``merged`` is a stored table with one row per value and its ``count``. Between two ranks the edge
     is interpolated linearly from the nearer end.
     """
     if q < 1:

@@ -16,6 +16,7 @@ from outcomelens.functions.numeric import log_count, percent, ratio
 from outcomelens.functions.parsing import numeric_then_text
 from outcomelens.operators.columns import quoted
 from outcomelens.operators.quantiles import add_bins, quantile_edges
+from outcomelens.session import materialise
 
 
 def _with_keys(df: DataFrame, keys: Sequence[str], null_keys: str) -> DataFrame:
@@ -111,6 +112,7 @@ def rate_by_frequency_bin(df: DataFrame, key: str, label: str, q: int = 20) -> D
         .agg(F.sum("freq").alias("n"), F.sum("hits").alias("hits"))
         .withColumn("log_freq", log_count(F.col("freq")))
     )
+    merged = materialise(merged, "frequencies")
     binned = add_bins(merged, "log_freq", quantile_edges(merged, "log_freq", q))
     return (
         binned.filter(F.col("bin").isNotNull())
@@ -127,6 +129,7 @@ def rate_by_bin(df: DataFrame, value: str, label: str, q: int) -> DataFrame:
         .groupBy(quoted(value))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(quoted(label)).cast("long").alias("hits"))
     )
+    merged = materialise(merged, "values")
     binned = add_bins(merged, value, quantile_edges(merged, value, q))
     return (
         binned.filter(F.col("bin").isNotNull())

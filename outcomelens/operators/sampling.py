@@ -1,12 +1,16 @@
 """Reproducible sampling, splitting and class weights.
 
 Rows are chosen by a hash of a stable id, so the choice does not depend on
-partitioning and a recomputed task chooses the same rows.
+partitioning and a recomputed task chooses the same rows. Exact sizes and weights
+need totals of the table; they are found first (two numbers) and enter the plan as
+literals, so a trainer that passes over the rows many times does not find them anew.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -15,9 +19,6 @@ from pyspark.sql import functions as F
 from outcomelens.functions.hashing import HASH_SIZE, hash_below, stable_hash
 from outcomelens.operators.columns import quoted
 
-_HASH_RANGES = 1 << 16
-
-
 def _hash(ids: Sequence[str]) -> Column:
     return stable_hash(*[quoted(c) for c in ids])
 
@@ -42,21 +43,18 @@ def split_by_hash(
     return df.filter(~in_test), df.filter(in_test)
 
 
-def _cut_hashes(df: DataFrame, label: str, ids: Sequence[str], takes: Column) -> Column:
+def _cut_hashes(df: DataFrame, label: str, ids: Sequence[str], takes: Column) -> dict[int, int]:
     """Per class, the largest hash among its first ``takes`` rows in hash order.
 
     ``takes`` reads the columns ``own`` (rows of the class), ``other`` (rows of the
-    other class) and ``cls``. Returns a map from class to hash, to be used inside a
-    filter. Hashes are uniform, so a histogram over their leading bits leaves one
-    range in 65,536 to rank by row.
+    other class) and ``cls``. Hashes are uniform, so a histogram over their leading
+    bits leaves one range in 65,536 to rank by row.
     """
     hashed = df.filter(quoted(label).isin(0, 1)).select(
         quoted(label).cast("int").alias("cls"), _hash(ids).alias("h")
     )
-    width = HASH_SIZE // _HASH_RANGES
-    hist = hashed.groupBy("cls", F.floor(F.col("h") / F.lit(width)).alias("r")).agg(
-        F.count(F.lit(1)).alias("c")
-    )
+    leading = F.shiftright(F.col("h"), 44)  # 16 of 60 bits
+    hist = hashed.groupBy("cls", leading.alias("r")).agg(F.count(F.lit(1)).alias("c"))
     # at most 2 * 65,536 rows
     upto = W.partitionBy("cls").orderBy("r")
     hist = hist.select(
@@ -71,20 +69,22 @@ def _cut_hashes(df: DataFrame, label: str, ids: Sequence[str], takes: Column) ->
         hist.withColumn("take", takes)
         .filter((F.col("upto") >= F.col("take")) & (F.col("upto") - F.col("c") < F.col("take")))
         .select("cls", "r", (F.col("take") - (F.col("upto") - F.col("c"))).alias("left"))
+        .collect()  # at most one row per class
     )
-    entry = cut.agg(F.map_from_entries(F.collect_list(F.struct("cls", F.struct("r", "left"))))).scalar()
-    edge = (
-        hashed.withColumn("__cut", F.element_at(entry, F.col("cls")))
-        .filter(F.floor(F.col("h") / F.lit(width)) == F.col("__cut.r"))
-        .withColumn("__rank", F.row_number().over(W.partitionBy("cls").orderBy("h")))
-        .filter(F.col("__rank") == F.col("__cut.left"))
+    if not cut:
+        return {}
+    inside = reduce(or_, [(F.col("cls") == c.cls) & (leading == c.r) for c in cut])
+    wanted = reduce(or_, [(F.col("cls") == c.cls) & (F.col("rank") == c.left) for c in cut])
+    ranked = hashed.filter(inside).withColumn(
+        "rank", F.row_number().over(W.partitionBy("cls").orderBy("h"))
     )
-    return edge.agg(F.map_from_entries(F.collect_list(F.struct("cls", "h")))).scalar()
+    return {row.cls: row.h for row in ranked.filter(wanted).collect()}
 
 
 def _up_to_cut(df: DataFrame, label: str, ids: Sequence[str], takes: Column) -> Column:
-    cut = F.element_at(_cut_hashes(df, label, ids, takes), quoted(label).cast("int"))
-    return F.coalesce(_hash(ids) <= cut, F.lit(False))
+    cuts = _cut_hashes(df, label, ids, takes)
+    tests = [(quoted(label) == cls) & (_hash(ids) <= F.lit(h)) for cls, h in sorted(cuts.items())]
+    return reduce(or_, tests, F.lit(False))
 
 
 def stratified_sample(
@@ -130,18 +130,12 @@ def add_class_weights(
 ) -> DataFrame:
     """``balanced``: n / (2 * n_class). ``positive``: negatives / positives on positives, else 1."""
     is_pos = quoted(label) == 1
-    totals = df.agg(
-        F.struct(
-            F.count_if(is_pos).alias("p"), F.count_if(quoted(label) == 0).alias("n")
-        )
-    ).scalar()
-    weighed = df.withColumn("__totals", totals)
-    p, n = F.col("__totals.p"), F.col("__totals.n")
+    totals = df.agg(F.count_if(is_pos).alias("p"), F.count_if(quoted(label) == 0).alias("n")).first()
+    p, n = totals.p, totals.n
     if scheme == "balanced":
-        own = F.when(is_pos, p).otherwise(n)
-        weight = F.try_divide((p + n).cast("double"), F.lit(2.0) * own)
+        on_pos, on_neg = (p + n) / (2.0 * p) if p else None, (p + n) / (2.0 * n) if n else None
     elif scheme == "positive":
-        weight = F.when(is_pos, F.try_divide(n.cast("double"), p)).otherwise(1.0)
+        on_pos, on_neg = n / p if p else None, 1.0
     else:
         raise ValueError(f"unknown weight scheme: {scheme}")
-    return weighed.withColumn(out, weight).drop("__totals")
+    return df.withColumn(out, F.when(is_pos, F.lit(on_pos)).otherwise(F.lit(on_neg)).cast("double"))
