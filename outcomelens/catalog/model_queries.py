@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from outcomelens.catalog import query
 from outcomelens.catalog.rate_queries import dated
-from outcomelens.catalog.sample_queries import _HASH
+from outcomelens.catalog.sample_queries import hash_sql
 from outcomelens.catalog.tables import HOURLY, RAW, hourly, raw_text, rounded, with_views
 from outcomelens.functions.hashing import HASH_SIZE
 from outcomelens.functions.parsing import parse_flag
@@ -24,6 +24,7 @@ from outcomelens.sources.writers import load_model, save_model
 
 _H = with_views(HOURLY)
 _R = with_views(RAW)
+_SPLIT = hash_sql("split")
 
 CATEGORICAL = ["primary_type", "beat"]
 NUMERIC = ["domestic", "Hour", "DayOfWeek", "IsWeekend", "value"]
@@ -176,7 +177,7 @@ def ml03(spark, sf):
     _H
     + _PLANTED
     + f"""SELECT id, label::double AS label, true AS consistent FROM z
-    WHERE {_HASH} < {int(0.2 * HASH_SIZE)}""",
+    WHERE {_SPLIT} < {int(0.2 * HASH_SIZE)}""",
 )
 def ml04(spark, sf):
     """Every test row is scored once; its prediction is its score against 0.5."""
@@ -188,7 +189,7 @@ def ml04(spark, sf):
 
 @query(
     "sc12_positive_class_score",
-    _H + f"SELECT id, 1.0::double AS both_classes FROM h WHERE {_HASH} < {int(0.2 * HASH_SIZE)}",
+    _H + f"SELECT id, 1.0::double AS both_classes FROM h WHERE {_SPLIT} < {int(0.2 * HASH_SIZE)}",
 )
 def sc12(spark, sf):
     """The score is the second entry of the probability vector, and both sum to 1."""
@@ -222,7 +223,7 @@ def ml06(spark, sf):
     "ml07_feature_count",
     _H
     + f"""SELECT (count(DISTINCT primary_type) + count(DISTINCT beat) + {len(NUMERIC)})::int AS n_features
-    FROM h WHERE {_HASH} >= {int(0.2 * HASH_SIZE)}""",
+    FROM h WHERE {_SPLIT} >= {int(0.2 * HASH_SIZE)}""",
 )
 def ml07(spark, sf):
     train, _ = split(spark, sf)
@@ -232,7 +233,7 @@ def ml07(spark, sf):
 @query(
     "io08_model_round_trip",
     _H
-    + f"""SELECT count(*) AS n_rows, count(*) AS n_equal FROM h WHERE {_HASH} < {int(0.2 * HASH_SIZE)}""",
+    + f"""SELECT count(*) AS n_rows, count(*) AS n_equal FROM h WHERE {_SPLIT} < {int(0.2 * HASH_SIZE)}""",
 )
 def io08(spark, sf):
     """A saved and loaded model scores every row as the original does."""

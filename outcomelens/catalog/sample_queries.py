@@ -9,9 +9,18 @@ from outcomelens.catalog.tables import HOURLY, YEARLY, hourly, rounded, with_vie
 from outcomelens.functions.hashing import HASH_SIZE
 from outcomelens.operators import sampling as S
 
-_HASH = "('0x' || substr(md5(id::varchar), 1, 15))::bigint"
-_H = with_views(HOURLY, f"k AS (SELECT *, {_HASH} AS hashed FROM h)")
-_Y = with_views(YEARLY, f"k AS (SELECT *, {_HASH} AS hashed FROM y)")
+
+def hash_sql(salt: str) -> str:
+    return f"('0x' || substr(md5('{salt}|' || id), 1, 15))::bigint"
+
+
+def _h(salt: str) -> str:
+    return with_views(HOURLY, f"k AS (SELECT *, {hash_sql(salt)} AS hashed FROM h) ")
+
+
+def _y(salt: str) -> str:
+    return with_views(YEARLY, f"k AS (SELECT *, {hash_sql(salt)} AS hashed FROM y) ")
+
 
 
 def _part(df, name):
@@ -20,7 +29,7 @@ def _part(df, name):
 
 @query(
     "sm01_sample_by_hash",
-    _Y + f"SELECT id, label FROM k WHERE hashed < {int(0.25 * HASH_SIZE)}",
+    _y("sample") + f"SELECT id, label FROM k WHERE hashed < {int(0.25 * HASH_SIZE)}",
 )
 def sm01(spark, sf):
     return S.sample_by_hash(yearly(spark, sf).select("id", "label"), ["id"], 0.25)
@@ -28,7 +37,7 @@ def sm01(spark, sf):
 
 @query(
     "sm01_stratified_sample_exact",
-    _Y
+    _y("sample")
     + """SELECT id, label FROM (
       SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY hashed) AS place,
              count(*) OVER (PARTITION BY label) AS n FROM k)
@@ -40,7 +49,7 @@ def sm01_exact(spark, sf):
 
 @query(
     "sm01_stratified_sample_size",
-    _H
+    _h("sample")
     + """SELECT id, label FROM (
       SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY hashed) AS place,
              count(*) OVER (PARTITION BY label) AS n, count(*) OVER () AS total FROM k)
@@ -53,7 +62,7 @@ def sm01_size(spark, sf):
 
 @query(
     "sm02_thin_negatives",
-    _H + f"SELECT id, label FROM k WHERE label = 1 OR hashed < {int(0.2 * HASH_SIZE)}",
+    _h("thin") + f"SELECT id, label FROM k WHERE label = 1 OR hashed < {int(0.2 * HASH_SIZE)}",
 )
 def sm02(spark, sf):
     return S.thin_negatives(hourly(spark, sf).select("id", "label"), "label", ["id"], 0.2)
@@ -61,7 +70,7 @@ def sm02(spark, sf):
 
 @query(
     "sm03_split_by_hash",
-    _H
+    _h("split")
     + f"""SELECT id, label, CASE WHEN hashed < {int(0.2 * HASH_SIZE)} THEN 'test' ELSE 'train' END AS part
     FROM k""",
 )
@@ -72,7 +81,7 @@ def sm03(spark, sf):
 
 @query(
     "sm04_stratified_split",
-    _H
+    _h("split")
     + """, c AS (SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY hashed) AS place,
       count(*) OVER (PARTITION BY label) AS own, count(*) OVER () AS n,
       count(*) OVER () - ceil(count(*) OVER () * 0.2::double)::bigint AS n_train FROM k),
@@ -89,7 +98,7 @@ def sm04(spark, sf):
 
 @query(
     "sm05_balanced_weights",
-    _H
+    _h("split")
     + """SELECT id, label, round((SELECT count(*) FROM h) / (2.0 * count(*) OVER (PARTITION BY label)), 6)
     AS weight FROM h""",
 )
@@ -99,7 +108,7 @@ def sm05(spark, sf):
 
 @query(
     "sm05_positive_weights",
-    _H
+    _h("split")
     + """SELECT id, label, CASE WHEN label = 1 THEN
       round((SELECT count(*) FILTER (label = 0) / count(*) FILTER (label = 1) FROM h), 6) ELSE 1.0 END
     AS weight FROM h""",
@@ -110,7 +119,7 @@ def sm05_positive(spark, sf):
 
 @query(
     "st01_union_by_name",
-    _H
+    _h("sample")
     + f"""SELECT id, label, area FROM k WHERE label = 1
     UNION ALL SELECT id, label, area FROM k WHERE label = 0 AND hashed < {int(0.5 * HASH_SIZE)}""",
 )

@@ -74,7 +74,7 @@ def yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
         line.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
+            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
             F.col("l_shipdate").alias("ts"),
             (F.col("l_returnflag") == "R").cast("int").alias("label"),
             F.col("p_type").alias("primary_type"),
@@ -93,7 +93,7 @@ def yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 YEARLY = """
 y AS (
-  SELECT l_orderkey || '-' || l_linenumber AS id, l_shipdate AS ts,
+  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id, l_shipdate AS ts,
          CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label,
          p_type AS primary_type, p_brand AS beat, s_nationkey AS district,
          l_suppkey::int AS area, l_partkey::varchar AS block, l_quantity AS quantity,

@@ -1,9 +1,10 @@
 """Reproducible sampling, splitting and class weights.
 
 Rows are chosen by a hash of a stable id, so the choice does not depend on
-partitioning and a recomputed task chooses the same rows. Exact sizes and weights
-need totals of the table; they are found first (two numbers) and enter the plan as
-literals, so a trainer that passes over the rows many times does not find them anew.
+partitioning and a recomputed task chooses the same rows. The id columns must tell
+rows apart. Exact sizes and weights need totals of the table; they are found first
+(two numbers) and enter the plan as literals, so a trainer that passes over the
+rows many times does not find them anew.
 """
 
 from __future__ import annotations
@@ -19,31 +20,37 @@ from pyspark.sql import functions as F
 from outcomelens.functions.hashing import HASH_SIZE, hash_below, stable_hash
 from outcomelens.operators.columns import quoted
 
-def _hash(ids: Sequence[str]) -> Column:
-    return stable_hash(*[quoted(c) for c in ids])
+# One salt per purpose, so that a split does not depend on an earlier sample.
+THIN, SAMPLE, SPLIT = "thin", "sample", "split"
+
+
+def _hash(ids: Sequence[str], salt: str) -> Column:
+    return stable_hash(*[quoted(c) for c in ids], salt=salt)
 
 
 def thin_negatives(df: DataFrame, label: str, ids: Sequence[str], fraction: float) -> DataFrame:
     """All positives and a fraction of the negatives."""
     return df.filter(
-        (quoted(label) == 1) | ((quoted(label) == 0) & hash_below(_hash(ids), fraction))
+        (quoted(label) == 1) | ((quoted(label) == 0) & hash_below(_hash(ids, THIN), fraction))
     )
 
 
 def sample_by_hash(df: DataFrame, ids: Sequence[str], fraction: float) -> DataFrame:
     """The same fraction of every stratum, in expectation."""
-    return df.filter(hash_below(_hash(ids), fraction))
+    return df.filter(hash_below(_hash(ids, SAMPLE), fraction))
 
 
 def split_by_hash(
     df: DataFrame, ids: Sequence[str], test_fraction: float = 0.2
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows; disjoint and together the whole table."""
-    in_test = hash_below(_hash(ids), test_fraction)
+    in_test = hash_below(_hash(ids, SPLIT), test_fraction)
     return df.filter(~in_test), df.filter(in_test)
 
 
-def _cut_hashes(df: DataFrame, label: str, ids: Sequence[str], takes: Column) -> dict[int, int]:
+def _cut_hashes(
+    df: DataFrame, label: str, ids: Sequence[str], salt: str, takes: Column
+) -> dict[int, int]:
     """Per class, the largest hash among its first ``takes`` rows in hash order.
 
     ``takes`` reads the columns ``own`` (rows of the class), ``other`` (rows of the
@@ -51,7 +58,7 @@ def _cut_hashes(df: DataFrame, label: str, ids: Sequence[str], takes: Column) ->
     bits leaves one range in 65,536 to rank by row.
     """
     hashed = df.filter(quoted(label).isin(0, 1)).select(
-        quoted(label).cast("int").alias("cls"), _hash(ids).alias("h")
+        quoted(label).cast("int").alias("cls"), _hash(ids, salt).alias("h")
     )
     leading = F.shiftright(F.col("h"), 44)  # 16 of 60 bits
     hist = hashed.groupBy("cls", leading.alias("r")).agg(F.count(F.lit(1)).alias("c"))
@@ -81,9 +88,11 @@ def _cut_hashes(df: DataFrame, label: str, ids: Sequence[str], takes: Column) ->
     return {row.cls: row.h for row in ranked.filter(wanted).collect()}
 
 
-def _up_to_cut(df: DataFrame, label: str, ids: Sequence[str], takes: Column) -> Column:
-    cuts = _cut_hashes(df, label, ids, takes)
-    tests = [(quoted(label) == cls) & (_hash(ids) <= F.lit(h)) for cls, h in sorted(cuts.items())]
+def _up_to_cut(
+    df: DataFrame, label: str, ids: Sequence[str], salt: str, takes: Column
+) -> Column:
+    cuts = _cut_hashes(df, label, ids, salt, takes)
+    tests = [(quoted(label) == cls) & (_hash(ids, salt) <= F.lit(h)) for cls, h in sorted(cuts.items())]
     return reduce(or_, tests, F.lit(False))
 
 
@@ -92,7 +101,7 @@ def stratified_sample(
 ) -> DataFrame:
     """Exactly ``round(fraction * n)`` rows of each class of a 0/1 label."""
     takes = F.bround(F.col("own") * F.lit(float(fraction)), 0).cast("long")
-    return df.filter(_up_to_cut(df, label, ids, takes))
+    return df.filter(_up_to_cut(df, label, ids, SAMPLE, takes))
 
 
 def stratified_sample_size(df: DataFrame, label: str, ids: Sequence[str], size: int) -> DataFrame:
@@ -101,7 +110,7 @@ def stratified_sample_size(df: DataFrame, label: str, ids: Sequence[str], size:
     takes = F.when(share >= 1.0, F.col("own")).otherwise(
         F.bround(F.col("own") * share, 0).cast("long")
     )
-    return df.filter(_up_to_cut(df, label, ids, takes))
+    return df.filter(_up_to_cut(df, label, ids, SAMPLE, takes))
 
 
 def stratified_split(
@@ -120,7 +129,7 @@ def stratified_split(
     base = ((spot - rest) / n).cast("long")
     wins = (rest > other_rest) | ((rest == other_rest) & (rest > 0) & (F.col("cls") == 1))
     takes = base + wins.cast("long")
-    in_train = _up_to_cut(df, label, ids, takes)
+    in_train = _up_to_cut(df, label, ids, SPLIT, takes)
     labelled = df.filter(quoted(label).isin(0, 1))
     return labelled.filter(in_train), labelled.filter(~in_train)
 

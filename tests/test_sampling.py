@@ -70,3 +70,15 @@ def test_weights(df):
     assert one_class.select("weight").distinct().collect() == [(1.0,)]
     with pytest.raises(ValueError):
         S.add_class_weights(df, "label", "other")
+
+
+def test_split_is_independent_of_an_earlier_sample(df):
+    for kept in (S.thin_negatives(df, "label", ["id"], 0.2), S.sample_by_hash(df, ["id"], 0.2)):
+        train, test = S.split_by_hash(kept, ["id"], 0.2)
+        negatives = kept.filter("label = 0").count()
+        assert 0.75 < train.filter("label = 0").count() / negatives < 0.85
+    kept = S.stratified_sample(df, "label", ["id"], 0.3)
+    train, test = S.stratified_split(kept, "label", ["id"], 0.2)
+    assert test.count() == math.ceil(0.2 * kept.count())
+    overlap = ids(test) & ids(S.sample_by_hash(df, ["id"], 0.06))
+    assert len(overlap) < 0.5 * test.count()
