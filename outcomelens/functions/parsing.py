@@ -2,16 +2,46 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from outcomelens.constants import FALSE_WORDS, TIMESTAMP_PATTERNS, TRUE_WORDS
 
 
+_DIGITS = {
+    "yyyy": r"[+-]?\d{4,}",
+    "MM": r"\d{2}",
+    "dd": r"\d{2}",
+    "HH": r"\d{2}",
+    "hh": r"\d{2}",
+    "mm": r"\d{2}",
+    "ss": r"\d{2}",
+    "a": r".+",
+}
+
+
+def _shape(pattern: str) -> str | None:
+    """A regular expression every text readable by ``pattern`` matches, if one is known."""
+    out = []
+    for quote, letters, other in re.findall(r"'([^']*)'|([A-Za-z]+)|([^A-Za-z'])", pattern):
+        if letters and letters not in _DIGITS:
+            return None
+        out.append(_DIGITS[letters] if letters else re.escape(quote or other))
+    return f"^{''.join(out)}$"
+
+
 def parse_timestamp(col: Column, patterns: tuple[str, ...] = TIMESTAMP_PATTERNS) -> Column:
-    """ISO first, then each pattern; the first success wins."""
+    """ISO first, then each pattern; the first success wins.
+
+    A pattern is only tried on text of its shape: a failed attempt costs an
+    exception, and most rows fail most patterns.
+    """
     tries = [F.try_to_timestamp(col)]
-    tries += [F.try_to_timestamp(col, F.lit(p)) for p in patterns]
+    for p in patterns:
+        shape, attempt = _shape(p), F.try_to_timestamp(col, F.lit(p))
+        tries.append(attempt if shape is None else F.when(col.rlike(shape), attempt))
     return F.coalesce(*tries)
 
 

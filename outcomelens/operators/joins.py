@@ -11,6 +11,7 @@ from outcomelens.operators.columns import quoted
 from outcomelens.session import materialise
 
 BROADCAST_ROWS = 200_000
+BROADCAST_KEY_BYTES = 32 << 20
 HOT_KEYS = 1_000
 SPREAD = 1_024
 
@@ -25,15 +26,19 @@ def attach_counts(
 ) -> DataFrame:
     """Left join of ``table`` (one row per ``key`` with its row ``count``) to ``df``.
 
-    The table is written once, so its size is known: up to ``broadcast_rows`` rows
-    it is broadcast and ``df`` is not shuffled at all. A larger one is joined by a
+    The table is written once and its size taken: up to ``broadcast_rows`` rows and
+    ``BROADCAST_KEY_BYTES`` of key text it is broadcast and ``df`` is not shuffled at all. A larger one is joined by a
     shuffle in which no task gets a hot key whole: keys holding at least one in
     ``HOT_KEYS`` of all rows (so never more than ``HOT_KEYS`` of them) are
     broadcast, and their rows, like those with a null key, are spread by a hash of
     ``spread_by`` (default: all columns).
     """
     stored = materialise(table.select(quoted(key), quoted(count)), "counts")
-    if stored.count() <= broadcast_rows:
+    size = stored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.octet_length(quoted(key).cast("string"))), F.lit(0)).alias("key_bytes"),
+    ).first()
+    if size.rows <= broadcast_rows and size.key_bytes <= BROADCAST_KEY_BYTES:
         return df.join(F.broadcast(stored), key, "left")
 
     total = stored.agg(F.sum(quoted(count))).scalar()

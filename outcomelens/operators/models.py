@@ -76,10 +76,13 @@ def logistic_pipeline(
     return Pipeline(stages=[*hashing_stages(categorical, numeric, num_features), model])
 
 
-def one_hot_stages(categorical: Sequence[str], numeric: Sequence[str]) -> list:
+def one_hot_stages(
+    categorical: Sequence[str], numeric: Sequence[str], impute: bool = False
+) -> list:
     """One 0/1 slot per level seen in training, then the numeric columns as they are.
 
-    An unseen level has no slot: its row is all zeros for that column.
+    An unseen level has no slot: its row is all zeros for that column. A row with a
+    missing number is left out, unless ``impute`` gives it the column's median.
     """
     stages, inputs = [], []
     if categorical:
@@ -96,16 +99,25 @@ def one_hot_stages(categorical: Sequence[str], numeric: Sequence[str]) -> list:
         # The slot dropped last is the one StringIndexer keeps for unseen levels.
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True))
         inputs += encoded
-    inputs += list(numeric)
+    if numeric and impute:
+        imputed = [c + IMPUTED for c in numeric]
+        stages.append(Imputer(strategy="median", inputCols=list(numeric), outputCols=imputed))
+        inputs += imputed
+    else:
+        inputs += list(numeric)
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip"))
     return stages
 
 
 def mixed_stages(
-    one_hot: Sequence[str], hashed: Sequence[str], numeric: Sequence[str], num_features: int
+    one_hot: Sequence[str],
+    hashed: Sequence[str],
+    numeric: Sequence[str],
+    num_features: int,
+    impute: bool = False,
 ) -> list:
     """One-hot for columns of few levels, hashing for those of many."""
-    stages = one_hot_stages(one_hot, numeric)
+    stages = one_hot_stages(one_hot, numeric, impute)
     if not hashed:
         return stages
     assembler = stages.pop()
@@ -122,6 +134,14 @@ def mixed_stages(
     return stages
 
 
+def filled_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns that hold any value; the others have no median to impute."""
+    if not columns:
+        return []
+    counts = df.agg(*[F.count(quoted(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    return [c for i, c in enumerate(columns) if counts[f"c{i}"]]
+
+
 def split_by_levels(df: DataFrame, categorical: Sequence[str], max_levels: int) -> tuple[list[str], list[str]]:
     """Categorical columns with few levels and those with many.
 

@@ -79,13 +79,19 @@ def busiest_groups(
 
 
 def intensity(df: DataFrame, key: str, label: str) -> DataFrame:
-    """Rows, outcomes and rate per key, beside the overall rate."""
-    keyed = _with_keys(df, [key], "drop")
-    per_key = keyed.groupBy(quoted(key)).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(quoted(label)).cast("long").alias("outcomes")
+    """Rows, outcomes and rate per key, beside the overall rate of all rows.
+
+    Both come from the per-key totals, which are written once: one scan.
+    """
+    per_key = df.groupBy(quoted(key)).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(quoted(label)).alias("labelled"),
+        F.sum(quoted(label)).cast("long").alias("outcomes"),
     )
-    overall = df.agg(percent(F.avg(quoted(label)))).scalar()
-    return per_key.withColumns(
+    per_key = materialise(per_key, "intensity")
+    overall = per_key.agg(percent(ratio(F.sum("outcomes"), F.sum("labelled")))).scalar()
+    keyed = per_key.filter(quoted(key).isNotNull()).drop("labelled")
+    return keyed.withColumns(
         {"rate_pct": percent(ratio(F.col("outcomes"), F.col("n"))), "overall_pct": overall}
     )
 

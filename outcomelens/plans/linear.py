@@ -14,7 +14,13 @@ from pyspark.sql import types as T
 from outcomelens.constants import LINEAR_CATEGORICAL, LINEAR_NUMERIC, MISSING_LEVEL
 from outcomelens.operators import metrics as M
 from outcomelens.operators.cleaning import has_key
-from outcomelens.operators.models import fit, logistic_pipeline, numeric_coefficients, score_table
+from outcomelens.operators.models import (
+    filled_columns,
+    fit,
+    logistic_pipeline,
+    numeric_coefficients,
+    score_table,
+)
 from outcomelens.operators.sampling import split_by_hash, thin_negatives
 from outcomelens.plans.prepare import prepare_linear
 from outcomelens.session import materialise
@@ -67,19 +73,22 @@ def run_linear(
 ) -> LinearRun:
     """The whole job: read, prepare, split, fit, score, report, save.
 
-    The scored table is written once below ``out_dir`` and every report reads it
-    from there with only its own columns.
+    The prepared table is written once, since imputation, training and scoring each
+    pass over it; the scored table is written below ``out_dir`` and every report
+    reads it from there with only its own columns.
     """
     started = time.time()
     base = out_dir.rstrip("/")
     table = prepare_linear(spark.read.parquet(in_path), ids)
     if neg_downsample < 1.0:
         table = thin_negatives(table, "label", ids, neg_downsample)
+    table = materialise(table, "prepared")
     train, test = split_by_hash(table, ids, test_fraction)
 
     categorical = [c for c in LINEAR_CATEGORICAL if c in table.columns]
+    numeric = filled_columns(train, LINEAR_NUMERIC)
     pipeline = logistic_pipeline(
-        categorical, LINEAR_NUMERIC, num_features, max_iter, reg_param, elastic_net
+        categorical, numeric, num_features, max_iter, reg_param, elastic_net
     )
     model = fit(pipeline, train)
 
@@ -106,4 +115,4 @@ def run_linear(
         "runtime_min": (time.time() - started) / 60.0,
     }
     write_json_row(spark, summary, SUMMARY_SCHEMA, f"{base}/metrics")
-    return LinearRun(model, scored, numeric_coefficients(spark, model, LINEAR_NUMERIC), summary)
+    return LinearRun(model, scored, numeric_coefficients(spark, model, numeric), summary)

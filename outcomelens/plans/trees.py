@@ -18,6 +18,7 @@ from outcomelens.operators.columns import quoted
 from outcomelens.operators.models import (
     boosted_pipeline,
     feature_count,
+    filled_columns,
     fit,
     forest_pipeline,
     mixed_stages,
@@ -84,15 +85,15 @@ def run_trees(
     kind: str = "forest",
     ids: Sequence[str] = ("id",),
     test_fraction: float = 0.2,
-    max_levels: int = 10_000,
-    num_features: int = 1 << 18,
+    max_levels: int = 1_000,
+    num_features: int = 1 << 12,
     metric_keys: Sequence[str] = ("Community Area", "District"),
     **params: object,
 ) -> TreeRun:
     """Split, weigh, fit, score, analyse and save.
 
     Columns with more than ``max_levels`` levels are hashed instead of one-hot
-    encoded. Error details stay in many files; only report tables are single.
+    encoded: a tree learner holds statistics for every slot. Error details stay in many files; only report tables are single.
     """
     if kind not in MODEL_NAMES:
         raise ValueError(f"unknown model kind: {kind}")
@@ -102,7 +103,8 @@ def run_trees(
     table = materialise(table, "features")
     train, test = stratified_split(table, "label", ids, test_fraction)
     few, many = split_by_levels(train, categorical, max_levels)
-    stages = mixed_stages(few, many, numeric, num_features)
+    numeric = filled_columns(train, numeric)
+    stages = mixed_stages(few, many, numeric, num_features, impute=True)
     if kind == "forest":
         pipeline = forest_pipeline(stages, **params)
         weighed = add_class_weights(train, "label", "balanced")

@@ -37,6 +37,17 @@ def test_timestamps_in_each_format(spark):
     ]
 
 
+def test_shape_guard_does_not_change_results(spark):
+    texts = ["02/03/2024 23:10:15", "2/3/2024 23:10", "02/03/2024 23:10 ", "02/03/2024 11:10:15 pm", "13/40/2024 23:10"]
+    texts += ["02/03/2024 13:10:15 PM", "02/03/2024", "2024-02-03T04:05:06Z", "2024-02-30 04:05:06", ""]
+    plain = lambda c: F.coalesce(
+        F.try_to_timestamp(c), *[F.try_to_timestamp(c, F.lit(p)) for p in P.TIMESTAMP_PATTERNS]
+    )
+    assert values(spark, texts, "string", P.parse_timestamp) == values(spark, texts, "string", plain)
+    assert P._shape("yyyy-MM-dd'T'HH:mm:ss") == r"^[+-]?\d{4,}\-\d{2}\-\d{2}T\d{2}:\d{2}:\d{2}$"
+    assert P._shape("EEE, dd MMM") is None
+
+
 def test_boolean_words(spark):
     words = ["TRUE", " t ", "1", "Y", "yes", "False", "f", "0", "n", "NO", "maybe", "", None]
     assert values(spark, words, "string", P.parse_flag) == [1] * 5 + [0] * 5 + [None] * 3

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 from pathlib import Path
 
 import pytest
@@ -78,6 +79,15 @@ def test_linear_run(spark, raw, tmp_path):
     assert thinned.scored.filter("label = 0").count() < 0.5 * run.scored.filter("label = 0").count()
 
 
+def test_linear_run_without_areas_or_flags(spark, raw, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    raw.select("ID", "Date", "Arrest", "Primary Type").write.parquet(source)
+    run = run_linear(spark, source, out, num_features=1 << 8, max_iter=2)
+    assert not Path(f"{out}/by_community").exists()
+    assert "DomesticNum_imp" not in {r.feature for r in run.coefficients.collect()}
+    assert run.summary["tp"] + run.summary["tn"] + run.summary["fp"] + run.summary["fn"] == run.scored.count()
+
+
 @pytest.mark.parametrize(
     "kind,params", [("forest", {"num_trees": 5, "max_depth": 4}), ("boosted", {"rounds": 3, "max_depth": 3})]
 )
@@ -85,6 +95,7 @@ def test_tree_run(spark, prepared, tmp_path, kind, params):
     out = str(tmp_path / "out")
     run = run_trees(spark, prepared, out, kind, max_levels=30, num_features=1 << 8, **params)
     n = run.scored.count()
+    assert n == math.ceil(0.2 * prepared.count())  # rows with missing numbers are kept
     sizes = {r.outcome: r.n for r in run.reports["error_sizes"].collect()}
     assert sum(sizes.values()) == n
     assert csv(spark, f"{out}/false_positives_details").count() == sizes.get("FP", 0)
