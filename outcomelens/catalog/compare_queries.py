@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from outcomelens.catalog import query
-from outcomelens.catalog.row_queries import ramp_sql
+from outcomelens.catalog.row_queries import ramp_sql, two_colour_sql
 from outcomelens.catalog.tables import (
     REGIONS,
     THREE,
@@ -283,15 +283,13 @@ def jn02(spark, sf):
 
 
 def _enriched_sql() -> str:
-    from outcomelens.catalog.row_queries import _two_colour_sql
-
     return (
         _YG
         + _ACC
         + f""", x AS (SELECT area_text AS area_key, community, accuracy, coalesce(n, 0) AS n,
       CASE WHEN n >= {MIN_ROWS} THEN accuracy END AS acc_plot
       FROM g LEFT JOIN acc ON TRY_CAST(area_text AS int) = area)
-    SELECT *, CASE WHEN acc_plot IS NULL THEN '#dddddd' ELSE {_two_colour_sql("acc_plot")} END AS fill,
+    SELECT *, CASE WHEN acc_plot IS NULL THEN '#dddddd' ELSE {two_colour_sql("acc_plot")} END AS fill,
       CASE WHEN acc_plot IS NULL THEN 0.3 ELSE 0.75 END AS opacity FROM x"""
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from outcomelens.catalog import query
-from outcomelens.catalog.rate_queries import _BIN, _edges_sql, dated, dated_lines
+from outcomelens.catalog.rate_queries import BIN_SQL, dated, dated_lines, edges_sql
 from outcomelens.catalog.tables import HOURLY, YEARLY, hourly, rounded, with_views, yearly
 from outcomelens.operators import errors as E
 
@@ -99,8 +99,8 @@ def _bins_sql(views: str, source: str, q: int) -> str:
     return (
         views
         + f", vals AS ({source}),"
-        + _edges_sql("vals", q)
-        + f""", b AS (SELECT {_BIN} AS bin, label, prediction, e FROM vals, edges)
+        + edges_sql("vals", q)
+        + f""", b AS (SELECT {BIN_SQL} AS bin, label, prediction, e FROM vals, edges)
     SELECT *, {_SHARES} FROM (SELECT bin::int AS bin, round(e[bin], 6) AS bin_low, round(e[bin + 1], 6) AS bin_high,
     {_COUNTS} FROM b GROUP BY bin, e)"""
     )
@@ -123,7 +123,7 @@ def ag18_value(spark, sf):
 
 
 def _top_sql(by: str, n: int) -> str:
-    inner = _rates_sql("", "y", "beat").removeprefix("")
+    inner = _rates_sql("", "y", "beat")
     return f'{_Y}SELECT * FROM ({inner}) ORDER BY "{by}" DESC, beat LIMIT {n}'
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from outcomelens.catalog import query
-from outcomelens.catalog.metric_queries import _CELLS, AUC, PR_AUC, ranks_sql
+from outcomelens.catalog.metric_queries import AUC, CELLS, PR_AUC, ranks_sql
 from outcomelens.catalog.rate_queries import dated
 from outcomelens.catalog.tables import (
     HOURLY,
@@ -119,7 +119,7 @@ def io06(spark, sf):
     "io07_summary_json",
     _H
     + ranks_sql("h")
-    + f""", c AS (SELECT {_CELLS} FROM h)
+    + f""", c AS (SELECT {CELLS} FROM h)
     SELECT round((SELECT {AUC} FROM s), 6) AS roc_auc, round((SELECT {PR_AUC} FROM s), 6) AS pr_auc,
     round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy, tp, tn, fp, fn FROM c""",
 )

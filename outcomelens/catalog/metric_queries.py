@@ -23,7 +23,7 @@ _H = with_views(HOURLY)
 _Y = with_views(YEARLY)
 _D = with_views(DOCUMENTED)
 
-_CELLS = """count(*) FILTER (label = 0 AND prediction = 0) AS tn,
+CELLS = """count(*) FILTER (label = 0 AND prediction = 0) AS tn,
     count(*) FILTER (label = 0 AND prediction = 1) AS fp,
     count(*) FILTER (label = 1 AND prediction = 0) AS fn,
     count(*) FILTER (label = 1 AND prediction = 1) AS tp"""
@@ -46,7 +46,7 @@ PR_AUC = """sum(pos * (tp / (tp + fp)
     / nullif(max(p), 0)::double"""
 
 
-@query("ag08_confusion_counts", _H + f"SELECT {_CELLS}, count(*) AS n FROM h")
+@query("ag08_confusion_counts", _H + f"SELECT {CELLS}, count(*) AS n FROM h")
 def ag08(spark, sf):
     return M.confusion_counts(hourly(spark, sf))
 
@@ -71,7 +71,7 @@ def _group_metrics_sql(views: str, view: str, key: str) -> str:
         + ranks_sql(view, key)
         + f""", a AS (SELECT grp, {AUC} AS auc FROM s GROUP BY grp),
     c AS (SELECT {key} AS key, count(*) AS n_obs, avg(label) AS yt, avg(prediction) AS yp, avg(score) AS ms,
-      {_CELLS}, avg((score - label) * (score - label)) AS brier FROM {view} GROUP BY {key}),
+      {CELLS}, avg((score - label) * (score - label)) AS brier FROM {view} GROUP BY {key}),
     r AS (SELECT *, tp / nullif(tp + fp, 0) AS pr, tp / nullif(tp + fn, 0) AS re FROM c)
     SELECT key AS {key}, n_obs, round(yt, 6) AS "ArrestRate_true", round(yp, 6) AS "ArrestRate_pred",
       round(ms, 6) AS "MeanProb", tp AS "TP", fp AS "FP", tn AS "TN", fn AS "FN",
@@ -177,7 +177,7 @@ def wn03_prices(spark, sf):
     + f"""SELECT tn, fp, fn, tp, n, round((tp + tn) / n, 6) AS accuracy, round(pr, 6) AS precision,
     round(re, 6) AS recall, round(coalesce(2 * pr * re / nullif(pr + re, 0), 0), 6) AS f1 FROM (
       SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS pr, coalesce(tp / nullif(tp + fn, 0), 0) AS re
-      FROM (SELECT {_CELLS}, count(*) AS n FROM h))""",
+      FROM (SELECT {CELLS}, count(*) AS n FROM h))""",
 )
 def ev01(spark, sf):
     return rounded(M.basic_metrics(M.confusion_counts(hourly(spark, sf))))
@@ -189,7 +189,7 @@ def ev01(spark, sf):
     + f"""SELECT lang, source, tn, fp, fn, tp, n, round((tp + tn) / n, 6) AS accuracy, round(pr, 6) AS precision,
     round(re, 6) AS recall, round(coalesce(2 * pr * re / nullif(pr + re, 0), 0), 6) AS f1 FROM (
       SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS pr, coalesce(tp / nullif(tp + fn, 0), 0) AS re
-      FROM (SELECT lang, source, {_CELLS}, count(*) AS n FROM d GROUP BY lang, source))""",
+      FROM (SELECT lang, source, {CELLS}, count(*) AS n FROM d GROUP BY lang, source))""",
 )
 def ev01_groups(spark, sf):
     return rounded(M.basic_metrics(M.confusion_counts(documented(spark, sf), ["lang", "source"])))
@@ -198,7 +198,7 @@ def ev01_groups(spark, sf):
 @query(
     "ev02_classification_report",
     _H
-    + f""", c AS (SELECT {_CELLS} FROM h),
+    + f""", c AS (SELECT {CELLS} FROM h),
     q AS (SELECT *, tn / (tn + fn) AS p0, tn / (tn + fp) AS r0, tp / (tp + fp) AS p1, tp / (tp + fn) AS r1,
       tn + fp AS s0, tp + fn AS s1, tn + fp + fn + tp AS n FROM c),
     f AS (SELECT *, 2 * p0 * r0 / (p0 + r0) AS f0, 2 * p1 * r1 / (p1 + r1) AS f1 FROM q)
@@ -218,7 +218,7 @@ def ev02(spark, sf):
     _D
     + f"""SELECT lang, source, tn, fp, fn, tp, n, round(tp / nullif(tp + fn, 0), 6) AS tpr,
     round(tn / nullif(tn + fp, 0), 6) AS tnr
-    FROM (SELECT lang, source, {_CELLS}, count(*) AS n FROM d GROUP BY lang, source)""",
+    FROM (SELECT lang, source, {CELLS}, count(*) AS n FROM d GROUP BY lang, source)""",
 )
 def ev03(spark, sf):
     return rounded(M.true_rates(M.confusion_counts(documented(spark, sf), ["lang", "source"])))
@@ -351,7 +351,7 @@ def ev11(spark, sf):
     "ev12_run_summary",
     _Y
     + ranks_sql("y")
-    + f""", c AS (SELECT {_CELLS} FROM y)
+    + f""", c AS (SELECT {CELLS} FROM y)
     SELECT round((SELECT {AUC} FROM s), 6) AS roc_auc, round((SELECT {PR_AUC} FROM s), 6) AS pr_auc,
     round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy, tp, tn, fp, fn FROM c""",
 )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from outcomelens.catalog import query
 from outcomelens.catalog.rate_queries import dated
 from outcomelens.catalog.sample_queries import hash_sql
-from outcomelens.catalog.tables import HOURLY, RAW, hourly, raw_text, rounded, with_views
+from outcomelens.catalog.tables import HOURLY, RAW, raw_text, rounded, with_views
 from outcomelens.functions.hashing import HASH_SIZE
 from outcomelens.functions.parsing import parse_flag
 from outcomelens.operators import metrics as M
@@ -187,6 +187,48 @@ def ml04(spark, sf):
     return scored.select("id", "label", ok.alias("consistent"))
 
 
+@query(
+    "ml01_logistic_mean_score",
+    _H
+    + _PLANTED
+    + f"""SELECT count(*) AS n_rows, round(avg(label), 3) AS mean_score FROM z
+    WHERE {_SPLIT} >= {int(0.2 * HASH_SIZE)}""",
+)
+def ml01_mean(spark, sf):
+    """At the optimum the mean training score is the outcome rate: the intercept is not penalised."""
+    train, _ = split(spark, sf)
+    scored = L.score_table(logistic(train, max_iter=200), train, [])
+    return rounded(scored.agg(F.count("*").alias("n_rows"), F.avg("score").alias("mean_score")), 3)
+
+
+_TEST_ROWS = (
+    _H + f"SELECT count(*) AS n_rows, count(*) AS n_consistent, true AS learns FROM h "
+    f"WHERE {_SPLIT} < {int(0.2 * HASH_SIZE)}"
+)
+
+
+def _learns(model, test):
+    """Rows scored, rows whose prediction follows from the score, and whether the planted rule is found."""
+    scored = L.score_table(model, test, ["label"])
+    merged = M.run_metrics(scored).select((F.col("roc_auc") > 0.75).alias("learns"))
+    ok = F.col("score").between(0, 1) & ((F.col("score") >= 0.5).cast("int") == F.col("prediction"))
+    return scored.agg(
+        F.count("*").alias("n_rows"), F.count_if(ok).alias("n_consistent")
+    ).withColumn("learns", merged.scalar())
+
+
+@query("ml02_forest_learns", _TEST_ROWS)
+def ml02_learns(spark, sf):
+    train, test = split(spark, sf)
+    return _learns(forest(train), test)
+
+
+@query("ml03_boosted_learns", _TEST_ROWS)
+def ml03_learns(spark, sf):
+    train, test = split(spark, sf)
+    return _learns(boosted(train), test)
+
+
 @query(
     "sc12_positive_class_score",
     _H + f"SELECT id, 1.0::double AS both_classes FROM h WHERE {_SPLIT} < {int(0.2 * HASH_SIZE)}",

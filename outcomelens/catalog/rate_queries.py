@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outcomelens.catalog import query
@@ -115,7 +116,7 @@ def ag05(spark, sf):
     return rounded(R.intensity(dated(spark, sf), "Hour", "label"))
 
 
-def _edges_sql(values: str, q: int) -> str:
+def edges_sql(values: str, q: int) -> str:
     """CTEs: interpolated quantile edges of ``values(v)``, without duplicates, numbered from 0."""
     return f"""
     ordered AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS pos, count(*) OVER () AS n FROM {values}),
@@ -128,7 +129,7 @@ def _edges_sql(values: str, q: int) -> str:
                 ELSE vb - (vb - va) * (1.0::double - part) END)) AS e FROM ends)"""
 
 
-_BIN = "greatest(len(list_filter(e, lambda x: x < v)), 1)"
+BIN_SQL = "greatest(len(list_filter(e, lambda x: x < v)), 1)"
 
 
 @query(
@@ -136,8 +137,8 @@ _BIN = "greatest(len(list_filter(e, lambda x: x < v)), 1)"
     _H
     + ", c AS (SELECT block, ln(1 + count(*)) AS v FROM h GROUP BY block),"
     + " vals AS (SELECT v, label FROM h JOIN c USING (block)),"
-    + _edges_sql("vals", 20)
-    + f""", b AS (SELECT {_BIN} AS bin, v, label, e FROM vals, edges)
+    + edges_sql("vals", 20)
+    + f""", b AS (SELECT {BIN_SQL} AS bin, v, label, e FROM vals, edges)
     SELECT bin::int AS bin, round(e[bin], 6) AS bin_low, round(e[bin + 1], 6) AS bin_high,
     count(*) AS n, round(100 * avg(label), 6) AS rate_pct FROM b GROUP BY bin, e""",
 )
@@ -201,8 +202,8 @@ def fe03(spark, sf):
     "fe08_quantile_bins",
     _H
     + ", vals AS (SELECT id, value AS v FROM h),"
-    + _edges_sql("vals", 20)
-    + f""", b AS (SELECT id, v, {_BIN} AS bin, e FROM vals, edges)
+    + edges_sql("vals", 20)
+    + f""", b AS (SELECT id, v, {BIN_SQL} AS bin, e FROM vals, edges)
     SELECT id, v AS value, bin::int AS bin, round(e[bin], 6) AS bin_low, round(e[bin + 1], 6) AS bin_high
     FROM b""",
 )
@@ -214,8 +215,8 @@ def fe08(spark, sf):
     "fe08_quantile_bins_with_ties",
     _Y
     + ", vals AS (SELECT id, CASE WHEN quantity < 30 THEN 1.0 ELSE quantity END AS v FROM y),"
-    + _edges_sql("vals", 20)
-    + f""", b AS (SELECT {_BIN} AS bin, e FROM vals, edges)
+    + edges_sql("vals", 20)
+    + f""", b AS (SELECT {BIN_SQL} AS bin, e FROM vals, edges)
     SELECT bin::int AS bin, round(e[bin], 6) AS bin_low, round(e[bin + 1], 6) AS bin_high, count(*) AS n
     FROM b GROUP BY bin, e""",
 )
@@ -232,8 +233,6 @@ def fe08_ties(spark, sf):
     (SELECT beat, round(avg(label) * 100, 6) AS rate_pct FROM h GROUP BY beat)""",
 )
 def sl01(spark, sf):
-    from pyspark.sql import Window as W
-
     report = rounded(R.outcome_rate(hourly(spark, sf), ["beat"], "label"))
     order = W.orderBy(F.desc("rate_pct"), "beat")
     return R.by_rate(report, ["beat"]).withColumn("place", F.row_number().over(order).cast("long"))

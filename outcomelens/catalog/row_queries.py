@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outcomelens.catalog import query
@@ -312,7 +313,7 @@ def sc15(spark, sf):
     return rounded(hourly(spark, sf).select("id", err.alias("err")))
 
 
-def _two_colour_sql(v: str) -> str:
+def two_colour_sql(v: str) -> str:
     t = f"((greatest(0.4, least(0.9, {v})) - 0.4) / {0.9 - 0.4 + 1e-9!r}::double)"
     channels = ", ".join(
         f"trunc({a}.0::double + {t} * {b - a}.0::double)::int" for a, b in ((33, 215), (113, 25), (181, 28))
@@ -323,7 +324,7 @@ def _two_colour_sql(v: str) -> str:
 @query(
     "sc16_two_colour_fill",
     _H
-    + f"""SELECT id, CASE WHEN label = 1 THEN {_two_colour_sql('score::double')} ELSE '#dddddd' END AS fill
+    + f"""SELECT id, CASE WHEN label = 1 THEN {two_colour_sql('score::double')} ELSE '#dddddd' END AS fill
     FROM h""",
 )
 def sc16(spark, sf):
@@ -387,8 +388,6 @@ def sc18(spark, sf):
     FROM r GROUP BY community_area""",
 )
 def sc19(spark, sf):
-    from pyspark.sql import Window as W
-
     counts = _parsed(spark, sf).groupBy("community_area").agg(F.count("*").alias("n"))
     order = W.orderBy(*P.numeric_then_text(F.col("community_area")))
     return counts.withColumn("place", F.row_number().over(order).cast("long"))

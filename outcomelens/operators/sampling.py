@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from outcomelens.functions.hashing import HASH_SIZE, hash_below, stable_hash
+from outcomelens.functions.hashing import hash_below, stable_hash
 from outcomelens.operators.columns import quoted
 
 # One salt per purpose, so that a split does not depend on an earlier sample.

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from outcomelens.constants import TREE_CATEGORICAL, TREE_NUMERIC
 from outcomelens.operators import errors as E

@@ -52,18 +52,27 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_geojson(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
+DOCUMENT_BYTES = 64 << 20
+
+
+def read_geojson(
+    spark: SparkSession, path: str, layout: str = "document", max_bytes: int = DOCUMENT_BYTES
+) -> DataFrame:
     """Region features: ``properties`` map and ``geometry`` as JSON text.
 
-    ``document``: each file is one FeatureCollection (read whole, as JSON needs).
     ``lines``: one feature per line, as :func:`writers.write_feature_lines` writes
-    it; such files split over many tasks.
+    it; such files split over many tasks. ``document``: each file is one
+    FeatureCollection, which one task must read whole; a file above ``max_bytes``
+    is refused, since it should come as lines.
     """
     if layout == "lines":
         lines = spark.read.text(path)
         return lines.select(F.from_json("value", _FEATURE).alias("f")).select("f.*")
     if layout != "document":
         raise ValueError(f"unknown layout: {layout}")
+    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
+    if largest is not None and largest > max_bytes:
+        raise ValueError(f"GeoJSON document of {largest} bytes: convert it to one feature per line")
     docs = spark.read.text(path, wholetext=True)
     return (
         docs.select(F.from_json("value", _COLLECTION).alias("doc"))

@@ -90,6 +90,8 @@ def test_geojson_document_enriched_and_written_as_lines(spark, tmp_path):
     assert RD.read_geojson(spark, str(tmp_path / "lines"), "lines").count() == 4
     with pytest.raises(ValueError):
         RD.read_geojson(spark, str(tmp_path / "g.json"), "other")
+    with pytest.raises(ValueError, match="one feature per line"):
+        RD.read_geojson(spark, str(tmp_path / "g.json"), max_bytes=100)
 
 
 def test_summary_row_has_its_schema(spark, tmp_path):
