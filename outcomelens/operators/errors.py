@@ -90,7 +90,7 @@ def error_rates_by_bin(
         .agg(*_error_counts(label, prediction))
     )
     merged = materialise(merged, "errors")
-    binned = add_bins(merged, column, quantile_edges(merged, column, bins, count="total"))
+    binned = add_bins(merged, column, quantile_edges(merged, column, bins, count="total"), bins)
     return _shares(
         binned.filter(F.col("bin").isNotNull())
         .groupBy("bin", "bin_low", "bin_high")

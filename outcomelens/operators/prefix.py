@@ -41,17 +41,20 @@ def merge_equal(
     return materialise(merged, "merged")
 
 
-def _range_index(bounds: Column, value: Column) -> Column:
-    """How many of the sorted bounds are <= value, by binary search."""
-    steps = F.array(*[F.lit(BUCKETS >> i) for i in range(1, BUCKETS.bit_length())])
-    return F.coalesce(
-        F.aggregate(
-            steps,
-            F.lit(0),
-            lambda at, step: F.when(F.element_at(bounds, at + step) <= value, at + step).otherwise(at),
-        ),
-        F.lit(0),
-    )
+def _with_range(df: DataFrame, bounds: Column, value: str) -> DataFrame:
+    """Add ``__range``: how many of the sorted bounds are <= the value.
+
+    A binary search, one projection per halving, so that it stays in generated code.
+    """
+    out = df.withColumn("__bounds", bounds).withColumn("__range", F.lit(0))
+    for i in range(1, BUCKETS.bit_length()):
+        step = BUCKETS >> i
+        middle = F.get("__bounds", F.col("__range") + F.lit(step - 1))
+        out = out.withColumn(
+            "__range",
+            F.when(middle <= quoted(value), F.col("__range") + F.lit(step)).otherwise(F.col("__range")),
+        )
+    return out.drop("__bounds")
 
 
 def prefix_sums(
@@ -86,34 +89,37 @@ def _ranged_groups(
 ) -> DataFrame:
     cuts = [i / BUCKETS for i in range(1, BUCKETS)]
     bounds = merged.agg(F.percentile_approx(quoted(value), cuts, F.lit(4 * BUCKETS))).scalar()
-
-    group = F.struct(*[quoted(c) for c in groups]) if groups else F.lit(0)
-    rows = (
-        merged.withColumn("__bounds", bounds)
-        .withColumn("__range", _range_index(F.col("__bounds"), quoted(value)))
-        .drop("__bounds")
-        .withColumn("__group", group)
-    )
+    keys = [quoted(c) for c in groups]
+    rows = _with_range(merged, bounds, value)
 
     # At most BUCKETS rows per group in the two windows over cells.
-    cells = rows.groupBy("__group", "__range").agg(*[F.sum(m).alias(f"__{m}_cell") for m in measures])
-    lower = W.partitionBy("__group").orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy("__group")
-    cells = cells.select(
-        "__group",
+    cells = rows.groupBy(*keys, "__range").agg(*[F.sum(m).alias(f"__{m}_cell") for m in measures])
+    lower = W.partitionBy(*keys).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(*keys)
+    heads = cells.select(
+        *keys,
         "__range",
-        *[F.coalesce(F.sum(f"__{m}_cell").over(lower), F.lit(0)).alias(f"__{m}_lower") for m in measures],
+        F.lit(0).alias("__row"),
+        *[F.coalesce(F.sum(f"__{m}_cell").over(lower), F.lit(0)).alias(m) for m in measures],
         *[F.sum(f"__{m}_cell").over(whole).alias(f"{m}_total") for m in measures],
     )
 
-    inside = (
-        W.partitionBy("__group", "__range").orderBy(quoted(value)).rowsBetween(W.unboundedPreceding, -1)
+    # Each cell's lower sum heads its own rows, so the running sum starts from it and no
+    # join is needed.
+    headed = rows.withColumn("__row", F.lit(1)).unionByName(heads, allowMissingColumns=True)
+    before = (
+        W.partitionBy(*keys, "__range")
+        .orderBy("__row", quoted(value))
+        .rowsBetween(W.unboundedPreceding, -1)
     )
-    running = {f"__{m}_inside": F.coalesce(F.sum(m).over(inside), F.lit(0)) for m in measures}
-    joined = rows.withColumns(running).join(cells, ["__group", "__range"])
-    below = {f"{m}_below": F.col(f"__{m}_lower") + F.col(f"__{m}_inside") for m in measures}
-    return joined.withColumns(below).select(
-        *[quoted(c) for c in merged.columns],
-        *[f"{m}_below" for m in measures],
-        *[f"{m}_total" for m in measures],
+    below = {f"{m}_below": F.sum(m).over(before) for m in measures}
+    total = {f"{m}_total": F.first(f"{m}_total").over(before) for m in measures}
+    return (
+        headed.withColumns(below | total)
+        .filter(F.col("__row") == 1)
+        .select(
+            *[quoted(c) for c in merged.columns],
+            *[f"{m}_below" for m in measures],
+            *[f"{m}_total" for m in measures],
+        )
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,13 @@ def quantile_edges(merged: DataFrame, value: str, q: int, count: str = "n") -> D
     def high_rank(i: Column) -> Column:
         return F.least(low_rank(i) + F.lit(1), total - F.lit(1))
 
+    # Most rows hold no wanted rank. Rank i is i*(n-1)/q, so a row can only hold one if
+    # a whole number lies between its own ends on that scale; the margin covers rounding.
+    scale = F.lit(float(q)) / F.greatest(total - F.lit(1), F.lit(1))
+    first = F.ceil((below - F.lit(1)) * scale - F.lit(1e-6))
+    last = F.floor((below + n) * scale + F.lit(1e-6))
+    ranked = ranked.filter(first <= last)
+
     places = F.sequence(F.lit(0).cast("long"), F.lit(q).cast("long"))
     hits = F.filter(places, lambda i: holds(low_rank(i)) | holds(high_rank(i)))
     found = ranked.select(
@@ -55,22 +64,23 @@ def quantile_edges(merged: DataFrame, value: str, q: int, count: str = "n") -> D
     return ends.agg(F.array_sort(F.array_distinct(F.collect_list(edge))).alias("edges"))
 
 
-def bin_of(value: Column, edges: Column) -> Column:
-    """1-based right-closed bin; the lowest edge belongs to bin 1.
+def bin_of(value: Column, edges: Column, q: int) -> Column:
+    """1-based right-closed bin among at most ``q + 1`` edges; the lowest edge belongs to bin 1.
 
     Null for a null value, outside values, and edges that form no bin.
     """
-    number = F.greatest(F.size(F.filter(edges, lambda e: e < value)), F.lit(1))
+    lower = [F.coalesce((F.get(edges, F.lit(i)) < value).cast("int"), F.lit(0)) for i in range(q + 1)]
+    number = F.greatest(reduce(add, lower), F.lit(1))
     inside = (value >= F.element_at(edges, 1)) & (value <= F.element_at(edges, -1))
     return F.when(inside & (F.size(edges) > 1), number)
 
 
-def add_bins(df: DataFrame, value: str, edges: DataFrame, out: str = "bin") -> DataFrame:
+def add_bins(df: DataFrame, value: str, edges: DataFrame, q: int, out: str = "bin") -> DataFrame:
     """Add ``bin``, ``bin_low`` and ``bin_high`` from a one-row ``edges`` table."""
     name = "__edges"
     return (
         df.withColumn(name, edges.scalar())
-        .withColumn(out, bin_of(quoted(value).cast("double"), F.col(name)))
+        .withColumn(out, bin_of(quoted(value).cast("double"), F.col(name), q))
         .withColumn(f"{out}_low", F.when(quoted(out).isNotNull(), F.get(F.col(name), quoted(out) - 1)))
         .withColumn(f"{out}_high", F.when(quoted(out).isNotNull(), F.get(F.col(name), quoted(out))))
         .drop(name)
@@ -80,7 +90,7 @@ def add_bins(df: DataFrame, value: str, edges: DataFrame, out: str = "bin") -> D
 def quantile_bins(df: DataFrame, value: str, q: int, out: str = "bin") -> DataFrame:
     """Rows with their equal-mass bin; duplicate edges are dropped."""
     merged = merge_equal(df, value, {"n": F.lit(1)})
-    return add_bins(df, value, quantile_edges(merged, value, q), out)
+    return add_bins(df, value, quantile_edges(merged, value, q), q, out)
 
 
 def lower_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -119,7 +119,7 @@ def rate_by_frequency_bin(df: DataFrame, key: str, label: str, q: int = 20) -> D
         .withColumn("log_freq", log_count(F.col("freq")))
     )
     merged = materialise(merged, "frequencies")
-    binned = add_bins(merged, "log_freq", quantile_edges(merged, "log_freq", q))
+    binned = add_bins(merged, "log_freq", quantile_edges(merged, "log_freq", q), q)
     return (
         binned.filter(F.col("bin").isNotNull())
         .groupBy("bin", "bin_low", "bin_high")
@@ -136,7 +136,7 @@ def rate_by_bin(df: DataFrame, value: str, label: str, q: int) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.sum(quoted(label)).cast("long").alias("hits"))
     )
     merged = materialise(merged, "values")
-    binned = add_bins(merged, value, quantile_edges(merged, value, q))
+    binned = add_bins(merged, value, quantile_edges(merged, value, q), q)
     return (
         binned.filter(F.col("bin").isNotNull())
         .groupBy("bin", "bin_low", "bin_high")
