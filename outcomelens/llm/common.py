@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -16,7 +16,7 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 #: Rows of one Arrow batch; texts may be long, so batches are kept short.
-BATCH_ROWS = 400
+BATCH_ROWS = 200
 
 #: The white space that separates words wherever the contracts say ``[^\x20\x09-\x0D]+``.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -51,10 +51,13 @@ def prepare(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join([*filter(None, paths), root])
 
 
-def packed(df: DataFrame, **needed: str) -> DataFrame:
-    """The whole row as one struct ``doc`` beside the named inputs, so that no column clashes."""
+def packed(df: DataFrame, carry: Sequence[str] | None = None, **needed: str) -> DataFrame:
+    """The row (or its ``carry`` columns) as one struct ``doc`` beside the named inputs.
+
+    So no column of the input clashes with one of the operator's.
+    """
     return df.select(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"),
+        F.struct(*[F.col(f"`{c}`") for c in carry or df.columns]).alias("doc"),
         *[F.col(f"`{c}`").alias(name) for name, c in needed.items()],
     )
 

@@ -1,4 +1,4 @@
 """Loads the modules that register the corpus queries."""
 
-from outcomelens.llm import es_mixing  # noqa: F401
+from outcomelens.llm import dac_tokens, es_mixing, suffix_decontam  # noqa: F401
 from outcomelens.llm.common import QUERIES, SQL  # noqa: F401
