@@ -22,6 +22,7 @@ from outcomelens.functions.numeric import ratio
 from outcomelens.operators import compare as CP
 from outcomelens.operators import metrics as M
 from outcomelens.operators import regions as G
+from outcomelens.session import materialise
 from outcomelens.sources.writers import feature_lines
 
 _T = with_views(THREE)
@@ -72,13 +73,10 @@ o AS (SELECT model AS "Model", (tp + tn) / (tp + tn + fp + fn) AS "Accuracy", tp
 _O = with_views(_OUT)
 
 
-def area_metrics(spark, sf, model=None):
-    """Supplier metrics as a metrics file would spell them."""
-    df = three_scores(spark, sf)
-    if model:
-        df = df.filter(F.col("model") == model)
+def area_metrics(spark, sf):
+    """Supplier metrics of all models, from one pass over the scores."""
     keys = ["model", "area"]
-    base = M.group_base(df, keys)
+    base = materialise(M.group_base(three_scores(spark, sf), keys), "area_metrics")
     return base.select(
         "model",
         "area",
@@ -91,16 +89,17 @@ def area_metrics(spark, sf, model=None):
 
 def combined(spark, sf):
     """Three tables of three spellings, harmonised and stacked; B has no observed rate."""
-    a = area_metrics(spark, sf, "A").select(
+    found = area_metrics(spark, sf)
+    a = found.filter("model = 'A'").select(
         F.col("area").alias("Community Area"), "n_obs", "FP_rate", "FN_rate", "ArrestRate_true"
     )
-    b = area_metrics(spark, sf, "B").select(
+    b = found.filter("model = 'B'").select(
         F.col("area").cast("string").alias("AREA-NUMBER"),
         F.col("n_obs").alias("Support"),
         F.col("FP_rate").alias("FPR"),
         F.col("FN_rate").alias("False Negative Rate"),
     )
-    c = area_metrics(spark, sf, "C").select(
+    c = found.filter("model = 'C'").select(
         F.col("area").cast("double").alias("area_id"),
         F.col("n_obs").alias("n"),
         F.col("FP_rate").alias("fp pct"),
@@ -226,7 +225,7 @@ def wn02(spark, sf):
     FROM k WHERE "ModelType" = 'B'""",
 )
 def ge01(spark, sf):
-    messy = area_metrics(spark, sf, "B").select(
+    messy = area_metrics(spark, sf).filter("model = 'B'").select(
         F.col("area").cast("string").alias("Comm Area"),
         F.col("n_obs").alias("Num-Obs"),
         F.col("FP_rate").alias(" False Positive Rate"),
@@ -235,6 +234,36 @@ def ge01(spark, sf):
     return rounded(G.harmonise_metrics(messy, "B"))
 
 
+# A whole key in the forms files hold it in; every fifth is no whole number.
+_FORMS = """CASE area % 5 WHEN 0 THEN area::varchar WHEN 1 THEN area || '.0' WHEN 2 THEN ' ' || area || ' '
+    WHEN 3 THEN area || '.5' ELSE 'n/a' END"""
+_READ = "CASE WHEN area % 5 < 3 THEN area END"
+
+
+def key_forms(area):
+    text = area.cast("string")
+    return (
+        F.when(area % 5 == 0, text)
+        .when(area % 5 == 1, F.concat(text, F.lit(".0")))
+        .when(area % 5 == 2, F.concat(F.lit(" "), text, F.lit(" ")))
+        .when(area % 5 == 3, F.concat(text, F.lit(".5")))
+        .otherwise("n/a")
+    )
+
+
+@query(
+    "ge01_decimal_text_keys",
+    _T + _K + f"""SELECT ({_READ.replace("area", "community_area")})::int AS community_area, n_obs, "ModelType",
+    {_round_sql("FP_rate", "FN_rate")} FROM k WHERE "ModelType" = 'B'""",
+)
+def ge01_decimal(spark, sf):
+    """Whole areas written with a decimal point or blanks are read; other text is null."""
+    messy = area_metrics(spark, sf).filter("model = 'B'").select(
+        key_forms(F.col("area")).alias("Comm Area"), F.col("n_obs").alias("n"), "FP_rate", "FN_rate"
+    )
+    return rounded(G.harmonise_metrics(messy, "B"))
+
+
 @query(
     "ge02_support_mask",
     _T
@@ -282,6 +311,18 @@ def jn02(spark, sf):
     return G.join_features(features(spark, sf), accuracy(spark, sf), "area_key", "area")
 
 
+@query(
+    "jn02_decimal_text_keys",
+    _YG
+    + _ACC
+    + f"""SELECT area_text AS area_key, community, {_FORMS} AS area, accuracy, n FROM g
+    JOIN acc ON TRY_CAST(area_text AS int) = {_READ}""",
+)
+def jn02_decimal(spark, sf):
+    right = accuracy(spark, sf).withColumn("area", key_forms(F.col("area")))
+    return G.join_features(features(spark, sf), right, "area_key", "area")
+
+
 def _enriched_sql() -> str:
     return (
         _YG

@@ -24,6 +24,7 @@ from outcomelens.operators import rates as R
 from outcomelens.operators import regions as G
 from outcomelens.operators.columns import normalize_names
 from outcomelens.plans.convert import convert_csv
+from outcomelens.plans.linear import SUMMARY_SCHEMA
 from outcomelens.session import scratch_path
 from outcomelens.sources import readers as RD
 from outcomelens.sources import writers as WR
@@ -66,6 +67,31 @@ def io02(spark, sf):
     return RD.read_csv_typed(spark, path, "id long, label int, area int, value double, block string")
 
 
+@query("io02_reordered_header", _H + "SELECT id, label, area, value, block FROM h")
+def io02_reordered(spark, sf):
+    """Columns are found by name, and one that nobody asked for does not matter."""
+    path = scratch_path(spark, "reordered")
+    WR.write_csv(hourly(spark, sf).select("block", "value", "beat", "id", "area", "label"), path)
+    return RD.read_csv_typed(spark, path, "id long, label int, area int, value double, block string")
+
+
+_QUOTED = """CASE event_id % 3 WHEN 0 THEN 'a "' || event_type || '", b' WHEN 1 THEN event_type || ', "' ELSE event_type END"""
+
+
+@query("io02_quotes", f"SELECT event_id, {_QUOTED} AS note, value FROM events")
+def io02_quotes(spark, sf):
+    """Quotes and commas inside fields survive a round trip."""
+    kind = F.col("event_type")
+    note = (
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('a "'), kind, F.lit('", b')))
+        .when(F.col("event_id") % 3 == 1, F.concat(kind, F.lit(', "')))
+        .otherwise(kind)
+    )
+    path = scratch_path(spark, "quotes")
+    WR.write_csv(table(spark, sf, "events").select("event_id", note.alias("note"), "value"), path)
+    return RD.read_csv_typed(spark, path, "event_id long, note string, value double")
+
+
 @query(
     "io03_parquet_scan",
     "SELECT event_id, value FROM events WHERE event_type = 'purchase' AND value > 100",
@@ -91,6 +117,30 @@ def io04(spark, sf):
     )
 
 
+@query(
+    "io04_geojson_document",
+    with_views(REGIONS)
+    + """SELECT area_text AS area_key, community,
+    '{"type":"Point","coordinates":[' || s_nationkey || ',0]}' AS geometry FROM g""",
+)
+def io04_document(spark, sf):
+    """One FeatureCollection per nation, written whole and read back."""
+    path = scratch_path(spark, "collections")
+    named = G.feature_columns(regions(spark, sf), {"area_numbe": "area_numbe", "community": "community"})
+    line = WR.feature_lines(named, ["area_numbe", "community"]).withColumn(
+        "place", F.get_json_object("value", "$.geometry.coordinates[0]")
+    )
+    # A bounded report: the features of one nation are one record of the file format.
+    collection = line.groupBy("place").agg(
+        F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("value")
+    )
+    collection.write.partitionBy("place").mode("overwrite").text(path)
+    read = RD.read_geojson(spark, path)
+    return G.feature_columns(read, {"area_key": "area_numbe", "community": "community"}).select(
+        "area_key", "community", "geometry"
+    )
+
+
 @query(
     "io05_parquet_write",
     _H + "SELECT id, label, area, primary_type, (SELECT count(*) FROM h) AS written FROM h",
@@ -121,13 +171,20 @@ def io06(spark, sf):
     + ranks_sql("h")
     + f""", c AS (SELECT {CELLS} FROM h)
     SELECT round((SELECT {AUC} FROM s), 6) AS roc_auc, round((SELECT {PR_AUC} FROM s), 6) AS pr_auc,
-    round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy, tp, tn, fp, fn FROM c""",
+    round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy, tp, tn, fp, fn,
+    'events' AS input_path, 'summary' AS output_dir, '2024-01-31 12:00:00' AS "timestamp", 1.5::double AS runtime_min FROM c""",
 )
 def io07(spark, sf):
+    """The job's summary row, all eleven fields, written and read back."""
     path = scratch_path(spark, "summary")
-    summary = M.run_metrics(hourly(spark, sf))
-    WR.write_json(summary, path)
-    return rounded(spark.read.schema(summary.schema).json(path))
+    row = M.run_metrics(hourly(spark, sf)).first().asDict() | {
+        "input_path": "events",
+        "output_dir": "summary",
+        "timestamp": "2024-01-31 12:00:00",
+        "runtime_min": 1.5,
+    }
+    WR.write_json_row(spark, row, SUMMARY_SCHEMA, path)
+    return rounded(spark.read.schema(SUMMARY_SCHEMA).json(path))
 
 
 @query(
@@ -135,9 +192,9 @@ def io07(spark, sf):
     "SELECT count(*) AS n_rows, 16::bigint AS spread_to, 1::bigint AS gathered_to FROM lineitem",
 )
 def io10(spark, sf):
-    line = table(spark, sf, "lineitem").select("l_orderkey")
+    line = table(spark, sf, "lineitem").select("l_linestatus")
     wide = WR.spread(line, 16)
-    small = WR.gather(line.groupBy("l_orderkey").agg(F.count("*").alias("n")))
+    small = WR.gather(line.groupBy("l_linestatus").agg(F.count("*").alias("n")))  # one row per status
     parts = wide.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
     gathered = small.select(F.spark_partition_id().alias("p")).agg(F.count_distinct("p")).scalar()
     return parts.agg(F.sum("n").alias("n_rows"), F.count("*").alias("spread_to")).withColumn(

@@ -135,6 +135,26 @@ def pr09(spark, sf):
     return O.coerce_numeric(df, {"community_area": "int", "ward": "int", "date": "double"})
 
 
+@query(
+    "pr09_whole_numbers",
+    """SELECT o_orderkey AS id, CASE o_orderkey % 5 WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE o_custkey END::int AS whole,
+    CASE WHEN o_orderkey % 5 <> 4 THEN o_custkey + CASE WHEN o_orderkey % 5 = 3 THEN 0.5 ELSE 0 END END::double AS number
+    FROM orders""",
+)
+def pr09_whole(spark, sf):
+    """Whole numbers of several spellings; the same text also read as a double."""
+    key, text = F.col("o_orderkey") % 5, F.col("o_custkey").cast("string")
+    spelled = (
+        F.when(key == 0, text)
+        .when(key == 1, F.concat(text, F.lit(".0")))
+        .when(key == 2, F.concat(F.lit(" "), text, F.lit(" ")))
+        .when(key == 3, F.concat(text, F.lit(".5")))
+        .otherwise("n/a")
+    )
+    df = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), spelled.alias("whole"), spelled.alias("number"))
+    return O.coerce_numeric(df, {"whole": "int", "number": "double"})
+
+
 @query(
     "pr10_completeness",
     _RAW + "SELECT count(TRY_CAST(community_area AS int)) AS non_null, count(*) AS total FROM r",

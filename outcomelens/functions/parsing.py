@@ -61,6 +61,15 @@ def to_number(col: Column, kind: str = "double") -> Column:
     return col.try_cast(kind)
 
 
+def to_whole(col: Column, kind: str = "int") -> Column:
+    """Whole number from a number or its text: 12, ``12``, ``12.0`` and `` 12 `` are 12, 12.5 is null.
+
+    Files that were written where a key was missing hold whole keys with a decimal point.
+    """
+    number = F.trim(col.cast("string")).try_cast("decimal(38,10)")
+    return F.when(number == F.floor(number), number.try_cast(kind))
+
+
 def numeric_then_text(col: Column) -> list[Column]:
     """Sort key: numbers in numeric order first, other text after them."""
     return [col.try_cast("int").asc_nulls_last(), col.asc()]

@@ -8,6 +8,10 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from outcomelens.functions.parsing import to_whole
+
+_WHOLE = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
+
 
 def quoted(name: str) -> Column:
     """Column by exact name, whatever characters it holds."""
@@ -80,12 +84,17 @@ def select_aliased(
         actual = resolve_column(df, names, logical in must)
         kind = types[logical]
         if actual is not None:
-            out.append(quoted(actual).try_cast(kind).alias(logical))
+            out.append(lenient(quoted(actual), kind).alias(logical))
         elif absent == "null":
             out.append(F.lit(None).cast(kind).alias(logical))
     return df.select(*out)
 
 
+def lenient(col: Column, kind: str) -> Column:
+    """Cast where bad values give null; a whole type takes whole numbers of any spelling."""
+    return to_whole(col, kind) if kind in _WHOLE else col.try_cast(kind)
+
+
 def keep_present(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """The named columns that exist, in the named order."""
     return df.select(*[quoted(c) for c in names if c in df.columns])
@@ -96,8 +105,8 @@ def drop_helpers(df: DataFrame, *names: str) -> DataFrame:
 
 
 def coerce_numeric(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
-    """Lenient numeric casts; text that is no number becomes null."""
-    present = {c: quoted(c).try_cast(k) for c, k in kinds.items() if c in df.columns}
+    """Lenient numeric casts; text that is no number (for a whole type: no whole number) becomes null."""
+    present = {c: lenient(quoted(c), k) for c, k in kinds.items() if c in df.columns}
     return df.withColumns(present)
 
 

@@ -44,11 +44,14 @@ def attach_counts(
     total = stored.agg(F.sum(quoted(count))).scalar()
     is_hot = quoted(count) * F.lit(HOT_KEYS) >= total
     hot = stored.filter(is_hot).withColumnRenamed(count, "__hot")
+    hot_bytes = hot.agg(F.coalesce(F.sum(F.octet_length(quoted(key).cast("string"))), F.lit(0)).alias("b")).first().b
+    if hot_bytes <= BROADCAST_KEY_BYTES:
+        hot = F.broadcast(hot)  # else Spark's own skew handling has to do
     cold = stored.filter(~is_hot).withColumn("__spread", F.lit(0))
 
     by = [quoted(c) for c in (spread_by or df.columns)]
     scattered = F.lit(1) + F.pmod(F.xxhash64(*by), F.lit(SPREAD)).cast("int")
-    marked = df.join(F.broadcast(hot), key, "left").withColumn(
+    marked = df.join(hot, key, "left").withColumn(
         "__spread",
         F.when(F.col("__hot").isNotNull() | quoted(key).isNull(), scattered).otherwise(0),
     )

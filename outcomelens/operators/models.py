@@ -116,7 +116,7 @@ def mixed_stages(
     num_features: int,
     impute: bool = False,
 ) -> list:
-    """One-hot for columns of few levels, hashing for those of many."""
+    """One-hot for the columns named first, hashing for those named second."""
     stages = one_hot_stages(one_hot, numeric, impute)
     if not hashed:
         return stages
@@ -142,21 +142,6 @@ def filled_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for i, c in enumerate(columns) if counts[f"c{i}"]]
 
 
-def split_by_levels(df: DataFrame, categorical: Sequence[str], max_levels: int) -> tuple[list[str], list[str]]:
-    """Categorical columns with few levels and those with many.
-
-    StringIndexer keeps the levels on the driver, so a column of unbounded levels
-    must not reach it. The level counts are approximate; one pass for all columns.
-    """
-    if not categorical:
-        return [], []
-    counts = df.agg(
-        *[F.approx_count_distinct(quoted(c)).alias(f"c{i}") for i, c in enumerate(categorical)]
-    ).first()
-    few = [c for i, c in enumerate(categorical) if counts[f"c{i}"] <= max_levels]
-    return few, [c for c in categorical if c not in few]
-
-
 def forest_pipeline(
     features: list,
     num_trees: int = 400,

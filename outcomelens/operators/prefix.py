@@ -7,7 +7,7 @@ shared folder, because the steps below read it several times with different
 columns, and the source should be scanned once only.
 
 Its row count is then known. A table of at most ``SMALL_ROWS`` rows takes one
-window per group. A larger one is cut into ``BUCKETS`` value ranges of about equal
+window per group. A larger one is cut into :func:`bucket_count` value ranges of about equal
 size, whatever the distribution, from approximate percentiles of the merged rows.
 A prefix sum is the total of the lower ranges plus the running sum inside the
 row's own range, so no task sorts a whole group. The cut points only place the
@@ -25,30 +25,41 @@ from pyspark.sql import functions as F
 from outcomelens.operators.columns import quoted
 from outcomelens.session import materialise
 
-BUCKETS = 1_024  # a power of two, for the binary search below
+BUCKETS = 1_024  # powers of two, for the binary search below
+MOST_BUCKETS = 65_536
+ROWS_PER_BUCKET = 1_000_000
 SMALL_ROWS = 100_000
 
 
+def bucket_count(rows: int) -> int:
+    """Ranges for a table of so many rows: about a million rows each, within bounds."""
+    wanted = max(1, -(-rows // ROWS_PER_BUCKET))
+    return min(MOST_BUCKETS, max(BUCKETS, 1 << (wanted - 1).bit_length()))
+
+
 def merge_equal(
     df: DataFrame, value: str, measures: Mapping[str, Column], groups: Sequence[str] = ()
 ) -> DataFrame:
-    """One stored row per group and distinct non-null value, with the summed measures."""
+    """One stored row per group and distinct value (not null, not NaN), with the summed measures."""
+    known = quoted(value).isNotNull()
+    if dict(df.dtypes).get(value) in ("float", "double"):
+        known &= ~F.isnan(quoted(value))  # NaN would rank above every number
     merged = (
-        df.filter(quoted(value).isNotNull())
+        df.filter(known)
         .groupBy(*[quoted(c) for c in [*groups, value]])
         .agg(*[F.sum(c).alias(name) for name, c in measures.items()])
     )
     return materialise(merged, "merged")
 
 
-def _with_range(df: DataFrame, bounds: Column, value: str) -> DataFrame:
+def _with_range(df: DataFrame, bounds: Column, value: str, buckets: int) -> DataFrame:
     """Add ``__range``: how many of the sorted bounds are <= the value.
 
     A binary search, one projection per halving, so that it stays in generated code.
     """
     out = df.withColumn("__bounds", bounds).withColumn("__range", F.lit(0))
-    for i in range(1, BUCKETS.bit_length()):
-        step = BUCKETS >> i
+    for i in range(1, buckets.bit_length()):
+        step = buckets >> i
         middle = F.get("__bounds", F.col("__range") + F.lit(step - 1))
         out = out.withColumn(
             "__range",
@@ -69,9 +80,10 @@ def prefix_sums(
     ``merged`` has one row per group and value and is cheap to read again, as
     :func:`merge_equal` returns it.
     """
-    if merged.count() <= small_rows:
+    rows = merged.count()
+    if rows <= small_rows:
         return _whole_groups(merged, value, measures, groups)
-    return _ranged_groups(merged, value, measures, groups)
+    return _ranged_groups(merged, value, measures, groups, bucket_count(rows))
 
 
 def _whole_groups(
@@ -85,14 +97,14 @@ def _whole_groups(
 
 
 def _ranged_groups(
-    merged: DataFrame, value: str, measures: Sequence[str], groups: Sequence[str]
+    merged: DataFrame, value: str, measures: Sequence[str], groups: Sequence[str], buckets: int
 ) -> DataFrame:
-    cuts = [i / BUCKETS for i in range(1, BUCKETS)]
-    bounds = merged.agg(F.percentile_approx(quoted(value), cuts, F.lit(4 * BUCKETS))).scalar()
+    cuts = [i / buckets for i in range(1, buckets)]
+    bounds = merged.agg(F.percentile_approx(quoted(value), cuts, F.lit(4 * buckets))).scalar()
     keys = [quoted(c) for c in groups]
-    rows = _with_range(merged, bounds, value)
+    rows = _with_range(merged, bounds, value, buckets)
 
-    # At most BUCKETS rows per group in the two windows over cells.
+    # At most ``buckets`` rows per group in the two windows over cells.
     cells = rows.groupBy(*keys, "__range").agg(*[F.sum(m).alias(f"__{m}_cell") for m in measures])
     lower = W.partitionBy(*keys).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*keys)

@@ -21,8 +21,10 @@ from outcomelens.constants import (
     REGION_KEY_RANGE,
 )
 from outcomelens.functions.colour import ramp_fill, two_colour_fill
+from outcomelens.functions.parsing import to_whole
 from outcomelens.operators.columns import normalize_names, quoted, select_aliased, tag_rows
 from outcomelens.operators.compare import first_per_key, metric_range
+from outcomelens.session import materialise
 
 # Canonical spelling and type of the harmonised columns.
 _CANONICAL = {
@@ -95,8 +97,8 @@ def join_features(
     features: DataFrame, metrics: DataFrame, feature_key: str, metric_key: str
 ) -> DataFrame:
     """Features with metrics, inner, on differently named keys read as whole numbers."""
-    left = features.withColumn("__key", quoted(feature_key).try_cast("int"))
-    right = metrics.withColumn("__key", quoted(metric_key).try_cast("int"))
+    left = features.withColumn("__key", to_whole(quoted(feature_key)))
+    right = metrics.withColumn("__key", to_whole(quoted(metric_key)))
     return left.join(right, "__key", "inner").drop("__key")
 
 
@@ -114,9 +116,9 @@ def enrich_features(
 
     A key that is blank, bad or without metrics gives a null value and support 0.
     """
-    left = features.withColumn("__key", quoted(feature_key).try_cast("int"))
+    left = features.withColumn("__key", to_whole(quoted(feature_key)))
     right = metrics.select(
-        quoted(metric_key).try_cast("int").alias("__key"), quoted(value), quoted(support)
+        to_whole(quoted(metric_key)).alias("__key"), quoted(value), quoted(support)
     )
     shown = supported_value(quoted(value), quoted(support), min_support)
     return (
@@ -154,11 +156,13 @@ def metric_layers(
         n.alias("n_obs"),
         *[quoted(m).cast("double").alias(m) for m in present],
     ).unpivot(["__key", model, "n_obs"], present, "metric", "value")
+    long = materialise(long, "layers")  # read for the ranges and for the join
     ranges = metric_range(
         long, "value", "n_obs" if has_n else None, min_support, groups=[model, "metric"]
     )
-    named = features.withColumn("__key", quoted(feature_key).try_cast("int"))
-    # Every layer shows every feature, so each feature row is repeated per layer.
+    named = features.withColumn("__key", to_whole(quoted(feature_key)))
+    # Every layer shows every feature, so each feature row is repeated per layer. The list has one
+    # entry per model and metric.
     names = ranges.agg(F.sort_array(F.collect_list(F.struct(model, "metric", "vmin", "vmax")))).scalar()
     shown = named.withColumn("__layers", names).withColumn("__layer", F.explode("__layers"))
     shown = shown.select("*", "__layer.*").drop("__layers", "__layer")
@@ -193,11 +197,11 @@ def observed_layer(
         quoted(metric).cast("double").alias("value"),
         quoted("n_obs").cast("double").alias("n_obs"),
     ).na.drop(subset=["__key", "value"])
-    single = first_per_key(rows, "__key", ["__model"]).drop("__model")
+    single = materialise(first_per_key(rows, "__key", ["__model"]).drop("__model"), "observed")
     extent = metric_range(single, "value", "n_obs", min_support)
     bounds = extent.agg(F.first(F.struct("vmin", "vmax"))).scalar()
     joined = (
-        features.withColumn("__key", quoted(feature_key).try_cast("int"))
+        features.withColumn("__key", to_whole(quoted(feature_key)))
         .join(single, "__key", "left")
         .drop("__key")
         .withColumn("__extent", bounds)

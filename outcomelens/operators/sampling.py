@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from outcomelens.functions.hashing import hash_below, stable_hash
 from outcomelens.operators.columns import quoted
+from outcomelens.session import materialise
 
 # One salt per purpose, so that a split does not depend on an earlier sample.
 THIN, SAMPLE, SPLIT = "thin", "sample", "split"
@@ -60,6 +61,7 @@ def _cut_hashes(
     hashed = df.filter(quoted(label).isin(0, 1)).select(
         quoted(label).cast("int").alias("cls"), _hash(ids, salt).alias("h")
     )
+    hashed = materialise(hashed, "hashes")  # the input is read once for both passes
     leading = F.shiftright(F.col("h"), 44)  # 16 of 60 bits
     hist = hashed.groupBy("cls", leading.alias("r")).agg(F.count(F.lit(1)).alias("c"))
     # at most 2 * 65,536 rows
@@ -113,6 +115,22 @@ def stratified_sample_size(df: DataFrame, label: str, ids: Sequence[str], size:
     return df.filter(_up_to_cut(df, label, ids, SAMPLE, takes))
 
 
+def training_rows(test_fraction: float) -> Column:
+    """Rows of class ``cls`` in the training set, from ``own`` and ``other`` (rows of the classes).
+
+    Products of two row counts pass the range of a long above a few billion rows, so they are decimals.
+    """
+    own, other = (F.col(c).cast("decimal(19,0)") for c in ("own", "other"))
+    n = F.col("own") + F.col("other")
+    n_train = (n - F.ceil(n * F.lit(float(test_fraction)))).cast("decimal(19,0)")
+    whole = n.cast("decimal(19,0)")
+    spot, other_spot = own * n_train, other * n_train
+    rest, other_rest = F.pmod(spot, whole), F.pmod(other_spot, whole)
+    base = ((spot - rest) / whole).cast("long")
+    wins = (rest > other_rest) | ((rest == other_rest) & (rest > 0) & (F.col("cls") == 1))
+    return base + wins.cast("long")
+
+
 def stratified_split(
     df: DataFrame, label: str, ids: Sequence[str], test_fraction: float = 0.2
 ) -> tuple[DataFrame, DataFrame]:
@@ -121,15 +139,7 @@ def stratified_split(
     Each class gives its whole share to the training set; the last row goes to the
     class with the larger remainder.
     """
-    n = F.col("own") + F.col("other")
-    n_train = n - F.ceil(n * F.lit(float(test_fraction)))
-    spot = F.col("own") * n_train
-    other_spot = F.col("other") * n_train
-    rest, other_rest = F.pmod(spot, n), F.pmod(other_spot, n)
-    base = ((spot - rest) / n).cast("long")
-    wins = (rest > other_rest) | ((rest == other_rest) & (rest > 0) & (F.col("cls") == 1))
-    takes = base + wins.cast("long")
-    in_train = _up_to_cut(df, label, ids, SPLIT, takes)
+    in_train = _up_to_cut(df, label, ids, SPLIT, training_rows(test_fraction))
     labelled = df.filter(quoted(label).isin(0, 1))
     return labelled.filter(in_train), labelled.filter(~in_train)
 

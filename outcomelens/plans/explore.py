@@ -8,7 +8,11 @@ from outcomelens.operators import rates as R
 
 
 def exploratory_reports(df: DataFrame, label: str = "Arrest") -> dict[str, DataFrame]:
-    """Every report whose columns exist. Each is lazy and reads only its own columns."""
+    """Every report whose columns exist, each from its own columns.
+
+    Reports by value range and by hour store their merged totals while they are built; the rest is lazy.
+    A stored ``BlockFreq`` counts the whole table and is preferred to counting a sample anew.
+    """
     have = set(df.columns)
     reports: dict[str, DataFrame] = {}
     if "Beat" in have:
@@ -17,10 +21,11 @@ def exploratory_reports(df: DataFrame, label: str = "Arrest") -> dict[str, DataF
         reports["rate_by_beat_in_order"] = R.by_key(rate, "Beat")
     if "Block" in have:
         reports["busiest_blocks"] = R.busiest_groups(df, "Block", label)
-        reports["rate_by_block_frequency"] = R.rate_by_frequency_bin(df, "Block", label).orderBy("bin")
-    elif "BlockFreq" in have:
+    if "BlockFreq" in have:
         logged = df.withColumn("BlockFreqLog", R.log_count(df["BlockFreq"]))
         reports["rate_by_block_frequency"] = R.rate_by_bin(logged, "BlockFreqLog", label, 20).orderBy("bin")
+    elif "Block" in have:
+        reports["rate_by_block_frequency"] = R.rate_by_frequency_bin(df, "Block", label).orderBy("bin")
     if {"Hour", "DayOfWeek"} <= have:
         reports["hour_by_day"] = R.outcome_pivot(df, "DayOfWeek", "Hour", range(24), label).orderBy("DayOfWeek")
     if "Primary Type" in have:

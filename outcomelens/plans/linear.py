@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from outcomelens.constants import LINEAR_CATEGORICAL, LINEAR_NUMERIC, MISSING_LEVEL
+from outcomelens.functions.parsing import to_whole
 from outcomelens.operators import metrics as M
 from outcomelens.operators.cleaning import has_key
 from outcomelens.operators.models import (
@@ -55,7 +56,7 @@ class LinearRun:
 
 def area_key(scored: DataFrame) -> DataFrame:
     """Scored rows with the area as a number again; the missing level becomes null."""
-    area = F.when(F.col(AREA) != MISSING_LEVEL, F.col(AREA)).try_cast("int")
+    area = to_whole(F.when(F.col(AREA) != MISSING_LEVEL, F.col(AREA)))
     return scored.withColumn(AREA, area)
 
 

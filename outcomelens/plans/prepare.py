@@ -15,7 +15,7 @@ from outcomelens.constants import (
     RAW_COLUMNS,
 )
 from outcomelens.functions.calendar import MONDAY0, SUNDAY1
-from outcomelens.functions.parsing import parse_flag
+from outcomelens.functions.parsing import parse_flag, to_whole
 from outcomelens.operators.cleaning import (
     drop_missing,
     fill_missing_levels,
@@ -29,8 +29,10 @@ from outcomelens.operators.columns import (
     quoted,
     select_wanted,
 )
-from outcomelens.operators.features import add_calendar, add_frequency
+from outcomelens.operators.features import add_calendar, key_counts
+from outcomelens.operators.joins import attach_counts
 from outcomelens.operators.sampling import stratified_sample_size
+from outcomelens.session import materialise
 
 
 def prepare_table(
@@ -38,7 +40,8 @@ def prepare_table(
 ) -> DataFrame:
     """Clean rows with calendar and frequency features, optionally a stratified sample.
 
-    Frequencies count the whole cleaned table, before sampling.
+    Frequencies count the whole cleaned table, before sampling. The cleaned rows are stored
+    once; counting, the sample's cut and the result read them from there.
     """
     df = select_wanted(normalize_names(raw), [normalize_name(c) for c in RAW_COLUMNS], rename=True)
     df = keep_labelled(drop_missing(df, ["arrest"]), "arrest", "Arrest__label")
@@ -47,11 +50,13 @@ def prepare_table(
     df = df.drop("arrest").withColumnRenamed("Arrest__label", "Arrest")
     if "domestic" in df.columns:
         df = df.withColumn("domestic", parse_flag(quoted("domestic")))
-    df = add_calendar(df, "DateTime", MONDAY0)
-    if "block" in df.columns:
-        df = add_frequency(df, "block", "BlockFreq", spread_by=[c for c in ids if c in df.columns])
+    df = materialise(add_calendar(df, "DateTime", MONDAY0), "cleaned")
+    counts = key_counts(df, "block", "BlockFreq") if "block" in df.columns else None
     if sample_size is not None:
         df = stratified_sample_size(df, "Arrest", ids, sample_size)
+    if counts is not None:
+        spread_by = [c for c in ids if c in df.columns]
+        df = attach_counts(df, counts, "block", "BlockFreq", spread_by)
     spelled = {normalize_name(c): c for c in PREPARED_COLUMNS}
     df = df.select(*[quoted(c).alias(spelled.get(normalize_name(c), c)) for c in df.columns])
     return keep_present(df, [*PREPARED_COLUMNS, *[c for c in ids if c not in PREPARED_COLUMNS]])
@@ -71,7 +76,7 @@ def prepare_linear(raw: DataFrame, ids: Sequence[str] = ()) -> DataFrame:
     else:
         df = df.withColumn("DomesticNum", F.lit(None).cast("int"))
     if "community_area" in df.columns:
-        df = df.withColumn("community_area", quoted("community_area").try_cast("int"))
+        df = df.withColumn("community_area", to_whole(quoted("community_area")))
     df = add_calendar(df, "ts", SUNDAY1)
     df = df.withColumns(
         {"label": F.col("label").cast("double"), **{c: F.col(c).cast("double") for c in LINEAR_NUMERIC}}

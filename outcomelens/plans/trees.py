@@ -22,7 +22,6 @@ from outcomelens.operators.models import (
     forest_pipeline,
     mixed_stages,
     score_table,
-    split_by_levels,
 )
 from outcomelens.operators.sampling import add_class_weights, stratified_split
 from outcomelens.session import materialise
@@ -84,15 +83,17 @@ def run_trees(
     kind: str = "forest",
     ids: Sequence[str] = ("id",),
     test_fraction: float = 0.2,
-    max_levels: int = 1_000,
+    hashed: Sequence[str] = (),
     num_features: int = 1 << 12,
     metric_keys: Sequence[str] = ("Community Area", "District"),
     **params: object,
 ) -> TreeRun:
     """Split, weigh, fit, score, analyse and save.
 
-    Columns with more than ``max_levels`` levels are hashed instead of one-hot
-    encoded: a tree learner holds statistics for every slot. Error details stay in many files; only report tables are single.
+    Every category is one-hot encoded but those named in ``hashed``, which share ``num_features``
+    hashed slots. The choice is the caller's and does not depend on the data: one-hot levels are held
+    on the driver and a tree learner holds statistics for every slot, so columns of unbounded levels
+    belong in ``hashed``. Error details stay in many files; only report tables are single.
     """
     if kind not in MODEL_NAMES:
         raise ValueError(f"unknown model kind: {kind}")
@@ -101,7 +102,8 @@ def run_trees(
     table, categorical, numeric = tree_table(prepared, ids)
     table = materialise(table, "features")
     train, test = stratified_split(table, "label", ids, test_fraction)
-    few, many = split_by_levels(train, categorical, max_levels)
+    many = [c for c in categorical if c in hashed]
+    few = [c for c in categorical if c not in hashed]
     numeric = filled_columns(train, numeric)
     stages = mixed_stages(few, many, numeric, num_features, impute=True)
     if kind == "forest":

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from outcomelens.operators.columns import quoted
+
 _FEATURE = T.StructType(
     [
         T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
@@ -15,64 +19,73 @@ _FEATURE = T.StructType(
 _COLLECTION = T.StructType([T.StructField("features", T.ArrayType(_FEATURE))])
 
 
+def _text_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Headered CSV as text; doubled quotes inside quoted fields are quotes."""
+    return (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
+        .option("escape", '"')
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
+def _by_header(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
+    """The file's column for each wanted name; marks and line ends around header names do not count."""
+    found = {c.replace("\ufeff", "").strip(): c for c in df.columns}
+    absent = [n for n in names if n.strip() not in found]
+    if absent:
+        raise ValueError(f"columns absent from the header: {absent}; it has {sorted(found)}")
+    return {n: found[n.strip()] for n in names}
+
+
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Headered CSV with every column as text.
 
-    With ``schema`` (all text) the header is not sampled by a separate job.
+    With ``schema`` its columns are taken by their name in the header, in the schema's order.
     """
-    reader = spark.read.option("header", True).option("inferSchema", False)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+    df = _text_csv(spark, path)
+    if schema is None:
+        return df
+    actual = _by_header(df, schema.fieldNames())
+    return df.select(*[quoted(actual[n]).alias(n) for n in schema.fieldNames()])
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Headered CSV with a given schema; columns are matched by position.
+    """Headered CSV with a given schema; columns are matched by name.
 
-    A byte-order mark in the header and carriage returns left at line ends do
-    not reach the values: text is trimmed of them.
+    Further columns of the file are left out, an absent one is an error, and a value that
+    does not fit its type is null. A byte-order mark in the header and carriage returns left at
+    line ends do not reach the values.
     """
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .csv(path)
-    )
-    cleaned = [
-        F.regexp_replace(F.col(f"`{f.name}`"), r"^\x{FEFF}|\r+$", "").alias(f.name)
-        if isinstance(f.dataType, T.StringType)
-        else F.col(f"`{f.name}`")
-        for f in df.schema.fields
-    ]
-    return df.select(*cleaned)
+    df = _text_csv(spark, path)
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    actual = _by_header(df, wanted.fieldNames())
+    out = []
+    for f in wanted.fields:
+        text = F.regexp_replace(quoted(actual[f.name]), r"\s+$", "")
+        typed = text if isinstance(f.dataType, T.StringType) else F.trim(text).try_cast(f.dataType)
+        out.append(typed.alias(f.name))
+    return df.select(*out)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-DOCUMENT_BYTES = 64 << 20
-
-
-def read_geojson(
-    spark: SparkSession, path: str, layout: str = "document", max_bytes: int = DOCUMENT_BYTES
-) -> DataFrame:
+def read_geojson(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
     """Region features: ``properties`` map and ``geometry`` as JSON text.
 
     ``lines``: one feature per line, as :func:`writers.write_feature_lines` writes
     it; such files split over many tasks. ``document``: each file is one
-    FeatureCollection, which one task must read whole; a file above ``max_bytes``
-    is refused, since it should come as lines.
+    FeatureCollection, so one record, which one task reads whole at any size; large
+    collections are better kept as lines.
     """
     if layout == "lines":
         lines = spark.read.text(path)
         return lines.select(F.from_json("value", _FEATURE).alias("f")).select("f.*")
     if layout != "document":
         raise ValueError(f"unknown layout: {layout}")
-    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
-    if largest is not None and largest > max_bytes:
-        raise ValueError(f"GeoJSON document of {largest} bytes: convert it to one feature per line")
     docs = spark.read.text(path, wholetext=True)
     return (
         docs.select(F.from_json("value", _COLLECTION).alias("doc"))

@@ -42,6 +42,7 @@ def write_csv(
     writer = (
         out.write.mode("overwrite")
         .option("header", True)
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
     )

@@ -83,12 +83,9 @@ def test_integer_keys_are_hashed_as_levels(spark):
     assert out[0].features.indices[0] != out[1].features.indices[0]
 
 
-def test_many_levels_are_hashed_not_indexed(spark, tables):
+def test_named_columns_are_hashed_not_indexed(spark, tables):
     train, _ = tables
     wide = train.withColumn("block", F.col("id").cast("string"))
-    few, many = L.split_by_levels(wide, ["kind", "area", "block"], 100)
-    assert (few, many) == (["kind", "area"], ["block"])
-    assert L.split_by_levels(wide, [], 100) == ([], [])
-    stages = L.mixed_stages(few, many, NUM, 1 << 8)
+    stages = L.mixed_stages(["kind", "area"], ["block"], NUM, 1 << 8)
     model = L.fit(L.forest_pipeline(stages, num_trees=3, max_depth=3, weight=None), wide)
     assert L.feature_count(model) == 5 + 13 + 2 + (1 << 8)

@@ -93,7 +93,7 @@ def test_linear_run_without_areas_or_flags(spark, raw, tmp_path):
 )
 def test_tree_run(spark, prepared, tmp_path, kind, params):
     out = str(tmp_path / "out")
-    run = run_trees(spark, prepared, out, kind, max_levels=30, num_features=1 << 8, **params)
+    run = run_trees(spark, prepared, out, kind, hashed=["Block"], num_features=1 << 8, **params)
     n = run.scored.count()
     assert n == math.ceil(0.2 * prepared.count())  # rows with missing numbers are kept
     sizes = {r.outcome: r.n for r in run.reports["error_sizes"].collect()}

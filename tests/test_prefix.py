@@ -111,3 +111,21 @@ def test_counts_join_both_ways(spark):
     assert sorted(map(tuple, wide.select("id", "n").collect())) == sorted(map(tuple, split.select("id", "n").collect()))
     assert split.filter("k = 'hot'").select("n").distinct().collect() == [(2_000,)]
     assert split.filter("k is null and n is not null").isEmpty()
+
+
+def test_ranges_follow_the_row_count():
+    from outcomelens.operators.prefix import BUCKETS, MOST_BUCKETS, bucket_count
+
+    assert bucket_count(0) == bucket_count(10**6) == BUCKETS
+    assert bucket_count(2 * 10**9) == 2_048 and bucket_count(10**10) == 16_384
+    assert bucket_count(10**12) == MOST_BUCKETS
+    assert all(bucket_count(n).bit_count() == 1 for n in (1, 10**7, 3 * 10**9))
+
+
+def test_nan_has_no_rank(spark):
+    from pyspark.sql import functions as F
+
+    from outcomelens.operators.prefix import merge_equal
+
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (1.0,)], "v double")
+    assert [tuple(r) for r in merge_equal(df, "v", {"n": F.lit(1)}).collect()] == [(1.0, 2)]

@@ -82,3 +82,12 @@ def test_split_is_independent_of_an_earlier_sample(df):
     assert test.count() == math.ceil(0.2 * kept.count())
     overlap = ids(test) & ids(S.sample_by_hash(df, ["id"], 0.06))
     assert len(overlap) < 0.5 * test.count()
+
+
+def test_training_rows_hold_beyond_the_range_of_longs(spark):
+    from outcomelens.operators.sampling import training_rows
+
+    df = spark.createDataFrame([(0, 3 * 10**12, 7 * 10**12), (1, 7 * 10**12, 3 * 10**12)], "cls int, own long, other long")
+    got = {r.cls: r.n for r in df.select("cls", training_rows(0.2).alias("n")).collect()}
+    assert got == {0: 24 * 10**11, 1: 56 * 10**11}
+    assert sum(r.n for r in spark.createDataFrame([(0, 3, 4), (1, 4, 3)], "cls int, own long, other long").select(training_rows(0.2).alias("n")).collect()) == 5
