@@ -17,6 +17,7 @@ SQL: dict[str, str] = {}
 
 #: Rows of one Arrow batch; texts may be long, so batches are kept short.
 BATCH_ROWS = 200
+BATCH_BYTES = 16 << 20
 
 #: The white space that separates words wherever the contracts say ``[^\x20\x09-\x0D]+``.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,6 +45,7 @@ def prepare(spark: SparkSession) -> None:
     On a cluster without a shared installation the package is sent with ``--py-files``.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(":")

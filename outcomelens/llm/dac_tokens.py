@@ -48,7 +48,7 @@ FILE_IDS = 8_000_000
 END_ID = 2
 MAGIC = b"DACT1\0\0\0"
 #: Entries of the per-worker cache of encoded units; the older half goes when it is full.
-CACHE_UNITS = 400_000
+CACHE_UNITS = 1_000_000
 LONGEST_CACHED = 64
 
 
@@ -150,10 +150,12 @@ class DacFile:
 
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _UNIT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_UNUSUAL = re.compile(
-    "[\\t\\x0b-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]|  |\n | \n|\n\n\n|^[ \n]|[ \n]\\Z"
-)
-_PLAIN = re.compile(f"[ \n][^{_SPACE}]+")
+#: A text with one of these takes the slower way, which cuts at every kind of white space.
+_UNUSUAL = ("\0", "\t", "\x0b", "\x0c", "\r", "  ", "\n ", " \n", "\n\n\n")
+_UNUSUAL_WIDE = tuple(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Marks a unit that stands in the cache as it is; others stand there without their space.
+_AS_IS = "\0"
 
 
 class UnitEncoder:
@@ -182,18 +184,50 @@ class UnitEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _learn(self, units: list[str]) -> None:
-        raw = self._library(["".join(units)])[0]
+        """Units that are a space and a run without white space: one text, cut again by byte lengths."""
+        raw = self._library([" " + " ".join(units)])[0]
         ends = np.cumsum(self.bytes_of[np.frombuffer(raw, "<u4")])
-        cuts = np.searchsorted(ends, np.cumsum([len(u.encode()) for u in units])) + 1
+        cuts = np.searchsorted(ends, np.cumsum([len(u.encode()) + 1 for u in units])) + 1
         edges = [0, *(cuts * 4).tolist()]
         self.known.update((u, raw[a:b]) for u, a, b in zip(units, edges, edges[1:]))
 
     def _units(self, text: str) -> list[str]:
-        """The first unit of a usual text gets a newline of its own, which is one piece."""
-        if not text or _UNUSUAL.search(text):
-            return ["", *_UNIT.findall(text)]
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return ["\n" + first, *[u if u[:1] == "\n" else " " + u for u in rest]]
+        """Cache keys of the units; of a usual text they are what stands between its spaces."""
+        if (
+            not text
+            or text[0] in " \n"
+            or text[-1] in " \n"
+            or any(c in text for c in _UNUSUAL)
+            or not (text.isascii() or not any(c in text for c in _UNUSUAL_WIDE))
+        ):
+            return [_AS_IS + u for u in _UNIT.findall(text)]
+        units = text.replace("\n", " \n").split(" ")
+        units[0] = _AS_IS + units[0]
+        return units
+
+    def _add(self, new: set[str]) -> None:
+        """Signs at the end of a unit are a piece of their own, so only what is before them is looked up."""
+        spaced, as_is, joined = set(), set(), []
+        for unit in new:
+            base = unit.rstrip(_SIGNS)
+            if len(base) < len(unit) and base and base[-1].isalnum():
+                tail = _AS_IS + unit[len(base) :]
+                joined.append((unit, base, tail))
+                if tail not in self.known:
+                    as_is.add(tail)
+                if base in self.known:
+                    continue
+            else:
+                base = unit
+            (as_is if base[:1] in (_AS_IS, "\n") or not base else spaced).add(base)
+        plain = list(spaced)
+        for at in range(0, len(plain), 2000):
+            self._learn(plain[at : at + 2000])
+        # An empty unit is a lone space.
+        other = list(as_is)
+        self.known.update(zip(other, self._library([u.removeprefix(_AS_IS) if u else " " for u in other])))
+        known = self.known
+        known.update((unit, known[base] + known[tail]) for unit, base, tail in joined)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -201,20 +235,10 @@ class UnitEncoder:
         if len(self.known) > CACHE_UNITS:
             for unit in list(self.known)[: CACHE_UNITS // 2]:
                 del self.known[unit]
-        new = list({u for c in cut if c for u in c} - self.known.keys())
-        plain = [u for u in new if _PLAIN.fullmatch(u)]
-        for at in range(0, len(plain), 2000):
-            self._learn(plain[at : at + 2000])
-        odd = [u for u in new if not _PLAIN.fullmatch(u)]
-        self.known.update(zip(odd, self._library(odd)))
+        new = set().union(*[c for c in cut if c]) - self.known.keys()
+        self._add(new)
         get = self.known.__getitem__
-        out = []
-        for text, units in zip(texts, cut):
-            if units is None:
-                out.append(self._library([text])[0])
-            else:
-                raw = b"".join(map(get, units))
-                out.append(raw[4:] if units[0] else raw)
+        out = [self._library([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
         for unit in new:
             if len(unit) > LONGEST_CACHED:
                 del self.known[unit]

@@ -19,7 +19,7 @@ Defined results
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +40,7 @@ SWITCH = 12.0
 WORD_CAP = 8.0
 #: A script is used by a language if it makes up this share of its letters.
 SCRIPT_SHARE = 0.01
-CACHE_UNITS = 300_000
+CACHE_UNITS = 1_000_000
 LONGEST_CACHED = 64
 
 #: First and last code point of the scripts that narrow the candidates.
@@ -66,6 +66,8 @@ SCRIPT_NAMES = [*SCRIPTS, "other"]
 
 def script_of(word: str) -> int:
     """Number of the script of the word's first letter."""
+    if word[0] <= "\u024f" and word[0].isalpha():
+        return 0
     for c in word:
         if c.isalpha():
             point = ord(c)
@@ -78,6 +80,8 @@ def script_of(word: str) -> int:
 
 def letters_of(unit: str) -> str:
     """The unit in lower case without signs at its ends; empty if it has no letter."""
+    if unit.isalpha():
+        return unit.lower()
     a, b = 0, len(unit)
     while a < b and not unit[a].isalpha():
         a += 1
@@ -86,13 +90,21 @@ def letters_of(unit: str) -> str:
     return unit[a:b].lower()
 
 
-def grams_of(word: str) -> list[int]:
-    """Buckets of the word's n-grams, boundaries included."""
-    raw = f" {word} ".encode("utf-32-le")  # four bytes a character
-    n = len(raw) // 4
-    return [
-        zlib.crc32(raw[4 * i : 4 * (i + k)], k) % BUCKETS for k in ORDERS for i in range(n - k + 1) if k > 1 or 0 < i < n - 1
-    ]
+def grams_of(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per order: the bucket of every n-gram (boundaries included) and the place of its word."""
+    codes = np.frombuffer("".join([f" {w} " for w in words]).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    word = np.repeat(np.arange(len(words)), lengths)
+    out, rolled = [], np.zeros(len(codes), np.uint64)
+    for k in range(1, max(ORDERS) + 1):
+        rolled = rolled[: len(codes) - k + 1] * np.uint64(0x9E3779B97F4A7C15) + codes[k - 1 :]
+        if k in ORDERS:
+            inside = word[: len(rolled)] == word[k - 1 :]
+            if k == 1:
+                inside &= codes != 32
+            mixed = (rolled[inside] + np.uint64(k)) * np.uint64(0xD6E8FEB86659FD93)
+            out.append(((mixed >> np.uint64(40)).astype(np.int64) % BUCKETS, word[: len(rolled)][inside]))
+    return out
 
 
 # ---- learning --------------------------------------------------------------------------
@@ -101,25 +113,25 @@ def grams_of(word: str) -> list[int]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pre-summed n-gram counts; scripts are counted below zero."""
     for batch in batches:
-        totals: dict[tuple[str, int], int] = {}
-        known: dict[str, tuple[int, list[int]]] = {}
+        units: dict[str, Counter] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            for unit in text.split():
-                if unit not in known:
-                    word = letters_of(unit)
-                    known[unit] = (-1 - script_of(word), grams_of(word)) if word else (0, [])
-                script, grams = known[unit]
-                if grams:
-                    for key in (script, *grams):
-                        totals[lang, key] = totals.get((lang, key), 0) + 1
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([k[0] for k in totals], pa.string()),
-                pa.array([k[1] for k in totals], pa.int64()),
-                pa.array(list(totals.values()), pa.int64()),
-            ],
-            ["lang", "gram", "n"],
-        )
+            units.setdefault(lang, Counter()).update(text.split())
+        columns: list[tuple[str, int, int]] = []
+        for lang, counted in units.items():
+            pairs = [(w, n) for u, n in counted.items() if (w := letters_of(u))]
+            if not pairs:
+                continue
+            times = np.array([n for _, n in pairs])
+            total = np.zeros(BUCKETS)
+            for bucket, word in grams_of([w for w, _ in pairs]):
+                total += np.bincount(bucket, times[word], BUCKETS)
+            seen = np.flatnonzero(total)
+            columns += [(lang, int(g), int(n)) for g, n in zip(seen, total[seen])]
+            script = np.bincount([script_of(w) for w, _ in pairs], times, len(SCRIPT_NAMES))
+            columns += [(lang, -1 - i, int(n)) for i, n in enumerate(script) if n]
+        kinds = [pa.string(), pa.int64(), pa.int64()]
+        values = zip(*columns) if columns else [[], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(values, kinds)], ["lang", "gram", "n"])
 
 
 class LanguageModel:
@@ -196,62 +208,71 @@ class Labeller:
 
     def reset(self) -> None:
         self.place: dict[str, int] = {}
-        self.rows: list[np.ndarray] = []
         self.matrix = np.zeros((0, len(self.model.languages)), np.float32)
 
-    def _score(self, word: str) -> np.ndarray:
-        candidates = self.model.scripts[script_of(word)]
-        # Overlapping n-grams repeat each other; a word counts each letter about once.
-        s = self.model.logp[grams_of(word)].sum(0) / len(ORDERS)
-        if candidates.any():
-            s = np.where(candidates, s, s[candidates].min() - WORD_CAP)
-        else:
-            s = np.zeros_like(s)
-        return np.maximum(s - s.max(), -WORD_CAP)
-
-    def label(self, text: str | None) -> tuple[str, float, list[dict]]:
-        languages = self.model.languages
-        if not text or not languages:
-            return UNDETERMINED, 0.0, []
-        if len(self.place) > CACHE_UNITS:
+    def score(self, words: list[str]) -> np.ndarray:
+        """Nats for each language, 0 for the best, at least ``-WORD_CAP``."""
+        scores = np.zeros((len(words), len(self.model.languages)))
+        for bucket, word in grams_of(words):
+            for j in range(scores.shape[1]):
+                scores[:, j] += np.bincount(word, self.model.logp[bucket, j], len(words))
+        scores /= len(ORDERS)  # overlapping n-grams repeat each other
+        fits = self.model.scripts[[script_of(w) for w in words]]
+        scores = np.where(fits, scores, -np.inf)
+        scores -= np.where(fits.any(1), scores.max(1), 0.0)[:, None]
+        scores[~fits.any(1)] = 0.0
+        return np.maximum(scores, -WORD_CAP).astype(np.float32)
+
+    def _learn(self, units: set[str]) -> None:
+        if len(self.place) + len(units) > CACHE_UNITS:
+            self.reset()
+        worded, words = [], []
+        for unit in units:
+            word = letters_of(unit)
+            if word:
+                worded.append(unit)
+                words.append(word)
+            else:
+                self.place[unit] = -1
+        if words:
+            self.place.update(zip(worded, range(len(self.matrix), len(self.matrix) + len(words))))
+            self.matrix = np.concatenate((self.matrix, self.score(words)))
+
+    def label_all(self, texts: list[str | None]) -> list[tuple[str, float, list[dict]]]:
+        cut = [t.split() if t and self.model.languages else [] for t in texts]
+        new = set().union(*cut) - self.place.keys()
+        if len(self.place) + len(new) > CACHE_UNITS:
             self.reset()
-        index = []
-        for unit in text.split():
-            i = self.place.get(unit)
-            if i is None:
-                word = letters_of(unit)
-                i = -1
-                if word:
-                    i = len(self.rows)
-                    self.rows.append(self._score(word))
-                if len(unit) <= LONGEST_CACHED:
-                    self.place[unit] = i
-            index.append(i)
-        if len(self.matrix) < len(self.rows):
-            grown = np.array(self.rows[len(self.matrix) :], np.float32)
-            self.matrix = np.concatenate((self.matrix, grown)) if len(self.matrix) else grown
-        index = np.array(index, np.int64)
+            new = set().union(*cut)
+        self._learn(new)
+        get = self.place.__getitem__
+        out = [self._label(np.fromiter(map(get, units), np.int64, len(units))) for units in cut]
+        for unit in new:
+            if len(unit) > LONGEST_CACHED:
+                del self.place[unit]
+        return out
+
+    def _label(self, index: np.ndarray) -> tuple[str, float, list[dict]]:
+        languages = self.model.languages
         words = np.flatnonzero(index >= 0)
         if not len(words):
             return UNDETERMINED, 0.0, []
-        scores = self.matrix[index[words]]
+        scores = self.matrix[index[words]].astype(np.float64)
         path = viterbi(scores)
         edges = np.concatenate(([0], np.flatnonzero(np.diff(path)) + 1, [len(path)]))
         spans = [
             {"start": int(words[a]), "n_words": int(words[b - 1] - words[a] + 1), "lang": languages[path[a]]}
             for a, b in zip(edges, edges[1:])
         ]
+        if not scores.any():
+            return languages[self.model.default], 1.0 / len(languages), spans
         votes = np.bincount(path, minlength=len(languages))
         total = scores.sum(0)
-        order = sorted(range(len(languages)), key=lambda j: (-votes[j], -total[j], j))
-        chosen = order[0]
-        if not scores.any():
-            chosen = self.model.default
-        own = scores[path == chosen] if (path == chosen).any() else scores
-        others = np.delete(own.sum(0), chosen)
-        margin = float(own.sum(0)[chosen] - others.max()) if len(others) else np.inf
-        sure = 1.0 / (1.0 + np.exp(-min(margin, 50.0)))
-        return languages[chosen], float(max(votes[chosen], 0) / len(path) * sure), spans
+        chosen = min(range(len(languages)), key=lambda j: (-votes[j], -total[j], j))
+        own = scores[path == chosen].sum(0)
+        others = np.delete(own, chosen)
+        margin = own[chosen] - others.max() if len(others) else 50.0
+        return languages[chosen], float(votes[chosen] / len(path) / (1.0 + np.exp(-np.clip(margin, -50, 50)))), spans
 
 
 _LABELLERS: dict[int, Labeller] = {}
@@ -266,7 +287,7 @@ def _label(shared):
         labeller = _LABELLERS[key]
         span = pa.struct([("start", pa.int64()), ("n_words", pa.int64()), ("lang", pa.string())])
         for batch in batches:
-            got = [labeller.label(t) for t in batch.column("__text").to_pylist()]
+            got = labeller.label_all(batch.column("__text").to_pylist())
             columns = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
             columns += [pa.array([g[2] for g in got], pa.list_(span))]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), *columns], ["doc", "lang_pred", "score", "spans"])

@@ -58,7 +58,7 @@ def test_ranges_are_of_similar_size_under_skew(spark):
     merged = PX.merge_equal(df, "v", {"n": F.lit(1)})
     cuts = [i / PX.BUCKETS for i in range(1, PX.BUCKETS)]
     bounds = merged.agg(F.percentile_approx("v", cuts, F.lit(4 * PX.BUCKETS)).alias("b")).first().b
-    spread = PX._with_range(merged, F.array(*map(F.lit, bounds)), "v")
+    spread = PX._with_range(merged, F.array(*map(F.lit, bounds)), "v", PX.BUCKETS)
     sizes = [r["count"] for r in spread.groupBy("__range").count().collect()]
     assert len(sizes) > 0.9 * PX.BUCKETS
     assert max(sizes) < 6 * 40_000 / PX.BUCKETS
