@@ -7,7 +7,7 @@ has a least width. Text with fewer characters per token than its language gives
 more of them, many unknown characters, or little variety falls outside.
 
 Languages are those of the ``lang`` column, null included; a language with fewer than ``LEAST_DOCS`` different measures
-takes the bands of the whole table. There is one row of bands per language, so they are joined without moving
+takes the widest limits of the others. There is one row of bands per language, so they are joined without moving
 the documents when they are small, as Spark decides.
 
 Defined results
@@ -36,7 +36,7 @@ _SPACE = " \t\n\x0b\x0c\r"
 BELOW, ABOVE = 4.0, 8.0
 #: Least deviation: characters per token (share of the middle), entropy (bits), byte share.
 LEAST_CPT, LEAST_ENTROPY, LEAST_BYTES = 0.02, 0.25, 0.0125
-LEAST_DOCS = 50
+LEAST_DOCS = 10
 CACHE_WORDS = 600_000
 LONGEST_CACHED = 64
 
@@ -178,12 +178,15 @@ def judge(docs: DataFrame, path: str, text: str = "text", language: str = "lang"
     stored = materialise(rows, "measures")
     found = materialise(bands(stored.filter(~F.col("base_failed")), "language"), "bands")
     own = found.filter(~F.col("whole") & (F.col("docs") >= LEAST_DOCS)).drop("whole", "docs").withColumnRenamed("lang", "of")
-    whole = found.filter("whole").first()  # one row
+    # One row: the widest limits of any language, or those of the whole table if no language is common.
+    widest = own.agg(F.min("cpt_low"), F.max("cpt_high"), F.min("entropy_low"), F.max("bytes_high")).first()
+    limits = ("cpt_low", "cpt_high", "entropy_low", "bytes_high")
+    rare = dict(zip(limits, widest))
+    if rare["cpt_low"] is None:
+        every = found.filter("whole").first()
+        rare = {c: every[c] if every else None for c in limits}
     joined = stored.join(own, F.col("language").eqNullSafe(F.col("of")), "left")
-    limit = {
-        c: F.coalesce(F.col(c), F.lit(whole[c] if whole else None).cast("double"))
-        for c in ("cpt_low", "cpt_high", "entropy_low", "bytes_high")
-    }
+    limit = {c: F.coalesce(F.col(c), F.lit(rare[c]).cast("double")) for c in limits}
     inside = (
         F.col("cpt").between(limit["cpt_low"], limit["cpt_high"])
         & (F.col("entropy") >= limit["entropy_low"])
