@@ -34,6 +34,8 @@ BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
 SAMPLE_DOCS = 1_000
 MOST_LANGUAGES = 400
+#: Share of a language's probability that is spread over all n-grams.
+UNSEEN = 0.05
 #: Cost of a change of language, in nats.
 SWITCH = 12.0
 #: A word tells at most so many nats for or against a language.
@@ -164,8 +166,8 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", sample_docs:
     plain = gram >= 0
     np.add.at(counts, (gram[plain], column[plain]), n[plain])
     np.add.at(scripts, (-1 - gram[~plain], column[~plain]), n[~plain])
-    smooth = counts + 0.5
-    logp = np.log(smooth / smooth.sum(0)).astype(np.float32)
+    # What was never seen is equally unlikely in every language, however much text each was learned from.
+    logp = np.log((1 - UNSEEN) * counts / np.maximum(counts.sum(0), 1) + UNSEEN / BUCKETS).astype(np.float32)
     used = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(0), 1)
     return LanguageModel(languages, logp, used & (scripts > 0), int(np.argmax([sizes[x] for x in languages])))
 
