@@ -19,7 +19,7 @@ from outcomelens.operators.cleaning import fill_missing_levels
 from outcomelens.operators.columns import normalize_names
 from outcomelens.operators.sampling import add_class_weights, split_by_hash
 from outcomelens.plans.prepare import prepare_linear, prepare_table
-from outcomelens.session import scratch_path
+from outcomelens.session import materialise, scratch_path
 from outcomelens.sources.writers import load_model, save_model
 
 _H = with_views(HOURLY)
@@ -201,6 +201,22 @@ def ml01_mean(spark, sf):
     return rounded(scored.agg(F.count("*").alias("n_rows"), F.avg("score").alias("mean_score")), 3)
 
 
+@query(
+    "ml01_logistic_as_published",
+    _H
+    + f"""SELECT count(*) AS n_rows, round(avg(label), 2) AS mean_score FROM h
+    WHERE {_SPLIT} >= {int(0.2 * HASH_SIZE)}""",
+)
+def ml01_published(spark, sf):
+    """The published slots, rounds and penalty, which are the pipeline's defaults, on the table's own label."""
+    columns = ["label", *CATEGORICAL, *NUMERIC]
+    df = dated(spark, sf).withColumns({c: F.col(c).cast("double") for c in NUMERIC})
+    train, _ = split_by_hash(fill_missing_levels(df, CATEGORICAL).select("id", *columns), ["id"])
+    stored = materialise(train.select(*columns), "training")
+    scored = L.score_table(L.fit(L.logistic_pipeline(CATEGORICAL, NUMERIC), stored), stored, [])
+    return rounded(scored.agg(F.count("*").alias("n_rows"), F.avg("score").alias("mean_score")), 2)
+
+
 _TEST_ROWS = (
     _H + f"SELECT count(*) AS n_rows, count(*) AS n_consistent, true AS learns FROM h "
     f"WHERE {_SPLIT} < {int(0.2 * HASH_SIZE)}"
@@ -241,6 +257,18 @@ def sc12(spark, sf):
     return out.select("id", F.round(negative + L.positive_score(), 9).alias("both_classes"))
 
 
+@query(
+    "sc12_score_is_sigmoid",
+    _H + f"SELECT id, true AS of_positive_class FROM h WHERE {_SPLIT} < {int(0.2 * HASH_SIZE)}",
+)
+def sc12_sigmoid(spark, sf):
+    """The score is the logistic curve of the positive class's raw value, not of the other one."""
+    train, test = split(spark, sf)
+    out = logistic(train).transform(test)
+    curve = 1 / (1 + F.exp(-vector_to_array("rawPrediction")[1]))
+    return out.select("id", (F.abs(curve - L.positive_score()) < 1e-9).alias("of_positive_class"))
+
+
 @query("ml05_numeric_coefficients")
 def ml05(spark, sf):
     train, _ = split(spark, sf)
