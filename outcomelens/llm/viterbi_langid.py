@@ -42,7 +42,8 @@ SWITCH = 12.0
 WORD_CAP = 8.0
 #: A script is used by a language if it makes up this share of its letters.
 SCRIPT_SHARE = 0.01
-CACHE_UNITS = 1_000_000
+#: Words whose scores a task keeps.
+CACHE_UNITS = 500_000
 LONGEST_CACHED = 64
 
 #: First and last code point of the scripts that narrow the candidates.
@@ -202,7 +203,7 @@ def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
 
 
 class Labeller:
-    """A model with the scores of the words a worker has met."""
+    """A model with the scores of the words a task has met; they go with the task."""
 
     def __init__(self, model: LanguageModel) -> None:
         self.model = model
@@ -277,16 +278,9 @@ class Labeller:
         return languages[chosen], float(votes[chosen] / len(path) / (1.0 + np.exp(-np.clip(margin, -50, 50)))), spans
 
 
-_LABELLERS: dict[int, Labeller] = {}
-
-
 def _label(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = shared.value["key"]
-        if key not in _LABELLERS:
-            _LABELLERS.clear()
-            _LABELLERS[key] = Labeller(shared.value["model"])
-        labeller = _LABELLERS[key]
+        labeller = Labeller(shared.value)
         span = pa.struct([("start", pa.int64()), ("n_words", pa.int64()), ("lang", pa.string())])
         for batch in batches:
             got = labeller.label_all(batch.column("__text").to_pylist())
@@ -299,12 +293,10 @@ def _label(shared):
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", carry=None) -> DataFrame:
     """``doc`` (the input row, or its ``carry`` columns), lang_pred, score, spans (start and length in words, language)."""
-    import uuid
-
     spark = docs.sparkSession
     prepare(spark)
     rows = packed(docs, carry, __text=text)
-    shared = spark.sparkContext.broadcast({"key": uuid.uuid4().hex, "model": model})
+    shared = spark.sparkContext.broadcast(model)
     kind = rows.schema["doc"].dataType.simpleString()
     return rows.mapInArrow(
         _label(shared), f"doc {kind}, lang_pred string, score double, spans array<struct<start:long,n_words:long,lang:string>>"
