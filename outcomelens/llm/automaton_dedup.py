@@ -14,11 +14,15 @@ that can match it meet.
    smaller documents, for the longest match that ends at every word (matching statistics), and then added to it.
    Matches of at least ``window`` words are maximal repeated spans. A later document with the same passage
    repeats all of it.
-5. Spans go back to the documents and their words are removed. Matches are judged on the input.
+5. A frequent line that stands in different surroundings fills its shard with different passages. A shard whose
+   different passages hold more than ``SHARD_WORDS`` words gets no automaton. Each run of ``window`` words in it goes
+   its own way by a hash of all its words, and meets equal runs only, as one sum per run. So no task holds such
+   a shard, and a shard with an automaton has a bounded size.
+6. Spans go back to the documents and their words are removed. Matches are judged on the input.
 
 The hot steps are plain joins on stored tables, whose large keys Spark splits, and sums before a shuffle. A run that
-repeats is in the same shard as all its occurrences, so nothing is missed; hashes only route, the automaton compares
-words.
+repeats is in the same shard as all its occurrences, so nothing is missed. The automaton compares words; equal
+passages, and equal runs of spread shards, are known by digests of 128 bits.
 
 Defined results
     Null and blank texts: no words. Texts shorter than the window: unchanged. Documents without an id come after all
@@ -44,6 +48,8 @@ from outcomelens.session import materialise
 WINDOW = 13
 GROUP = 6
 SLICE = 64
+#: A shard of more words in different passages is spread by runs of ``window`` words.
+SHARD_WORDS = 1 << 14
 _LAST = 2**63 - 1
 _BASE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _WRAP = 1 << 64
@@ -155,6 +161,7 @@ def _cut(window: int, group: int):
     return run
 
 
+_MATCHED = "home long, slice int, digest binary, first_doc long, spans array<array<int>>"
 _PASSAGE = "row long, doc long, home long, slice int, start int, n int, digest binary, content binary"
 
 
@@ -254,6 +261,69 @@ def _match(window: int):
     return run
 
 
+# ---- spread shards ---------------------------------------------------------------------
+
+
+def _runs(window: int):
+    """The different runs of ``window`` words of each passage, and where they start."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for passage, doc, content in zip(*(batch.column(c).to_pylist() for c in ("passage", "first_doc", "content"))):
+                starts = [0]
+                for word in content.split(b" "):
+                    starts.append(starts[-1] + len(word) + 1)
+                places: dict[bytes, list[int]] = {}
+                for i in range(len(starts) - window):
+                    digest = hashlib.blake2b(content[starts[i] : starts[i + window] - 1], digest_size=16).digest()
+                    places.setdefault(digest, []).append(i)
+                out += [(passage, doc, digest, at) for digest, at in places.items()]
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32())]
+            columns = zip(*out) if out else [[] for _ in kinds]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], ["passage", "first_doc", "run", "places"])
+
+    return run
+
+
+def _unite(window: int):
+    """Spans [from, to) of the runs that start at ``places``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for places in batch.column("places").to_pylist():
+                spans: list[list[int]] = []
+                for p in sorted(places or []):
+                    if spans and p <= spans[-1][1]:
+                        spans[-1][1] = p + window
+                    else:
+                        spans.append([p, p + window])
+                out.append(spans)
+            kept = ["home", "slice", "digest", "first_doc"]
+            spans = pa.array(out, pa.list_(pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), spans], [*kept, "spans"])
+
+    return run
+
+
+def _spread(different: DataFrame, window: int) -> DataFrame:
+    """What :func:`_match` gives, for the passages of spread shards."""
+    passages = materialise(different.withColumn("passage", F.monotonically_increasing_id()), "spread_passages")
+    runs = passages.select("passage", "first_doc", "content").mapInArrow(
+        _runs(window), "passage long, first_doc long, run binary, places array<int>"
+    )
+    first = runs.groupBy("run").agg(F.min("first_doc").alias("least"), F.max("first_doc").alias("most"))
+    repeats = materialise(first.filter(F.col("least") < F.col("most")).select(F.col("run").alias("known"), "least"), "repeated_runs")
+    hits = (
+        runs.join(repeats, (F.col("run") == F.col("known")) & (F.col("least") < F.col("first_doc")))
+        .groupBy(F.col("passage").alias("of"))
+        .agg(F.flatten(F.collect_list("places")).alias("places"))
+    )
+    joined = passages.join(hits, F.col("passage") == F.col("of"), "left").select("home", "slice", "digest", "first_doc", "places")
+    return materialise(joined.mapInArrow(_unite(window), _MATCHED), "spread")
+
+
 # ---- the operator ----------------------------------------------------------------------
 
 
@@ -273,7 +343,9 @@ def _tidy(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, group: int = GROUP) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, group: int = GROUP, shard_words: int = SHARD_WORDS
+) -> DataFrame:
     """Stored rows (row, spans): per document with repeats, spans [from, to) in words, in order and disjoint."""
     spark = docs.sparkSession
     prepare(spark)
@@ -299,12 +371,22 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     meeting = rows.join(shards, F.col("row") == F.col("of")).select("row", "doc", "text", "shards")
     passages = materialise(meeting.mapInArrow(_cut(window, group), _PASSAGE), "passages")
     _tidy(spark)
-    distinct = passages.groupBy("home", "slice", "digest", "content").agg(F.min("doc").alias("first_doc"))
-    routed = distinct.repartition("home", "slice").sortWithinPartitions("home", "slice", "first_doc")
-    matched = materialise(
-        routed.mapInArrow(_match(window), "home long, slice int, digest binary, first_doc long, spans array<array<int>>"), "matched"
-    )
+    sizes = passages.select("home", "slice", "digest", "n").distinct().groupBy("home", "slice").agg(F.sum("n").alias("held"))
+    large = sizes.filter(F.col("held") > shard_words).select(F.col("home").alias("large_home"), F.col("slice").alias("large_slice"))
+    large = materialise(large, "large_shards")
+    _tidy(spark)
+    is_large = (F.col("home") == F.col("large_home")) & (F.col("slice") == F.col("large_slice"))
+
+    def different(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("home", "slice", "digest", "content").agg(F.min("doc").alias("first_doc"))
+
+    routed = different(passages.join(large, is_large, "left_anti")).repartition("home", "slice")
+    routed = routed.sortWithinPartitions("home", "slice", "first_doc")
+    matched = materialise(routed.mapInArrow(_match(window), _MATCHED), "matched")
     _tidy(spark)
+    if not large.isEmpty():
+        matched = matched.unionByName(_spread(different(passages.join(large, is_large, "left_semi")), window))
+        _tidy(spark)
     keys = ["home", "slice", "digest"]
     whole = F.array(F.array(F.lit(0), F.col("n")))
     own = F.when(F.col("doc") == F.col("first_doc"), F.col("spans")).otherwise(whole)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 
 import pytest
@@ -235,6 +236,29 @@ def test_repeats(docs, none):
     assert automaton_dedup.remove_repeats(none).count() == 0
 
 
+def test_frequent_line_fills_no_shard(spark, tmp_path, monkeypatch):
+    """A 9-word line in different surroundings, and true repeats around it in every third document."""
+    rng = random.Random(9)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line, around = [f"line{i}" for i in range(9)], some(12)
+    texts = [some(15) + line + (around[: 2 + i % 9] if i % 3 == 0 else some(9)) + some(15) for i in range(300)]
+    texts += [texts[7], texts[0] + ["end"]]
+    seen: dict[tuple, int] = {}
+    for i, words in enumerate(texts):
+        for j in range(len(words) - 12):
+            seen.setdefault(tuple(words[j : j + 13]), i)
+    runs = [{j + k for j in range(len(w) - 12) if seen[tuple(w[j : j + 13])] < i for k in range(13)} for i, w in enumerate(texts)]
+    path = str(tmp_path / "d")
+    spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string").write.parquet(path)
+    stored, store = {}, automaton_dedup.materialise
+    monkeypatch.setattr(automaton_dedup, "materialise", lambda df, name: stored.setdefault(name, store(df, name)))
+    got = {r.doc.doc_id: r for r in automaton_dedup.remove_repeats(spark.read.parquet(path), shard_words=512).collect()}
+    for i, words in enumerate(texts):
+        assert (got[i].n_removed, got[i].kept_text) == (len(runs[i]), " ".join(w for k, w in enumerate(words) if k not in runs[i]))
+    # Passages of at least 13 words: at most 39 in a shard of 512 words.
+    assert stored["matched"].groupBy("home", "slice").count().agg({"count": "max"}).first()[0] <= 39
+
+
 # 10 ---------------------------------------------------------------------------------------
 
 
