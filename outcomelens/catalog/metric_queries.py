@@ -123,7 +123,8 @@ _BUCKETS = """, b AS (SELECT floor(score * 200) / 200.0 AS bucket, count(*) FILT
 
 @query("ag12_bucket_counts", _H + _BUCKETS + "SELECT bucket, tp_bucket, fp_bucket FROM b")
 def ag12(spark, sf):
-    return M.bucket_counts(hourly(spark, sf))
+    ranks = M.bucket_ranks(hourly(spark, sf))
+    return ranks.select("bucket", F.col("pos").alias("tp_bucket"), F.col("neg").alias("fp_bucket"))
 
 
 @query(
@@ -144,7 +145,8 @@ def ag13(spark, sf):
     FROM b WINDOW w AS (ORDER BY bucket DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
 )
 def wn01(spark, sf):
-    return M.cumulative_counts(M.bucket_counts(hourly(spark, sf)))
+    reached = M.counts_from(M.bucket_ranks(hourly(spark, sf)))
+    return reached.select("bucket", F.col("pos_from").alias("cum_tp"), F.col("neg_from").alias("cum_fp"))
 
 
 @query(
