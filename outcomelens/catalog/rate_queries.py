@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outcomelens.catalog import query
@@ -12,6 +11,7 @@ from outcomelens.operators import features as FE
 from outcomelens.operators import quantiles as Q
 from outcomelens.operators import rates as R
 from outcomelens.operators.columns import normalize_names
+from outcomelens.operators.ranks import number_rows
 from outcomelens.plans.explore import exploratory_reports
 
 _H = with_views(HOURLY)
@@ -256,5 +256,4 @@ def fe08_ties(spark, sf):
 )
 def sl01(spark, sf):
     report = rounded(R.outcome_rate(hourly(spark, sf), ["beat"], "label"))
-    order = W.orderBy(F.desc("rate_pct"), "beat")
-    return R.by_rate(report, ["beat"]).withColumn("place", F.row_number().over(order).cast("long"))
+    return number_rows(report, R.rate_order(["beat"]))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outcomelens.catalog import query
@@ -16,6 +15,7 @@ from outcomelens.operators import cleaning as K
 from outcomelens.operators import columns as O
 from outcomelens.operators import features as FE
 from outcomelens.operators import metrics as M
+from outcomelens.operators.ranks import number_rows
 
 _RAW = with_views(RAW)
 _H = with_views(HOURLY)
@@ -409,8 +409,7 @@ def sc18(spark, sf):
 )
 def sc19(spark, sf):
     counts = _parsed(spark, sf).groupBy("community_area").agg(F.count("*").alias("n"))
-    order = W.orderBy(*P.numeric_then_text(F.col("community_area")))
-    return counts.withColumn("place", F.row_number().over(order).cast("long"))
+    return number_rows(counts, P.numeric_then_text(F.col("community_area")))
 
 
 @query(

@@ -24,7 +24,20 @@ def attach_counts(
     spread_by: Sequence[str] = (),
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Left join of ``table`` (one row per ``key`` with its row ``count``) to ``df``.
+    """Left join of ``table`` (one row per ``key`` with its row ``count``) to ``df``; see :func:`attach`."""
+    return attach(df, table, key, [count], count, spread_by, broadcast_rows)
+
+
+def attach(
+    df: DataFrame,
+    table: DataFrame,
+    key: str,
+    values: Sequence[str],
+    count: str,
+    spread_by: Sequence[str] = (),
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Left join of ``values`` from ``table`` (one row per ``key`` with its row ``count``) to ``df``.
 
     The table is written once and its size taken: up to ``broadcast_rows`` rows and
     ``BROADCAST_KEY_BYTES`` of key text it is broadcast and ``df`` is not shuffled at all. A larger one is joined by a
@@ -33,21 +46,23 @@ def attach_counts(
     broadcast, and their rows, like those with a null key, are spread by a hash of
     ``spread_by`` (default: all columns).
     """
-    stored = materialise(table.select(quoted(key), quoted(count)), "counts")
+    wanted = list(dict.fromkeys([*values, count]))
+    stored = materialise(table.select(quoted(key), *[quoted(c) for c in wanted]), "counts")
     size = stored.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.octet_length(quoted(key).cast("string"))), F.lit(0)).alias("key_bytes"),
     ).first()
     if size.rows <= broadcast_rows and size.key_bytes <= BROADCAST_KEY_BYTES:
-        return df.join(F.broadcast(stored), key, "left")
+        return df.join(F.broadcast(stored.select(quoted(key), *[quoted(c) for c in values])), key, "left")
 
     total = stored.agg(F.sum(quoted(count))).scalar()
     is_hot = quoted(count) * F.lit(HOT_KEYS) >= total
-    hot = stored.filter(is_hot).withColumnRenamed(count, "__hot")
+    held = {c: f"__hot_{i}" for i, c in enumerate(values)}
+    hot = stored.filter(is_hot).select(quoted(key), F.lit(True).alias("__hot"), *[quoted(c).alias(h) for c, h in held.items()])
     hot_bytes = hot.agg(F.coalesce(F.sum(F.octet_length(quoted(key).cast("string"))), F.lit(0)).alias("b")).first().b
     if hot_bytes <= BROADCAST_KEY_BYTES:
         hot = F.broadcast(hot)  # else Spark's own skew handling has to do
-    cold = stored.filter(~is_hot).withColumn("__spread", F.lit(0))
+    cold = stored.filter(~is_hot).select(quoted(key), *[quoted(c) for c in values], F.lit(0).alias("__spread"))
 
     by = [quoted(c) for c in (spread_by or df.columns)]
     scattered = F.lit(1) + F.pmod(F.xxhash64(*by), F.lit(SPREAD)).cast("int")
@@ -55,8 +70,7 @@ def attach_counts(
         "__spread",
         F.when(F.col("__hot").isNotNull() | quoted(key).isNull(), scattered).otherwise(0),
     )
-    return (
-        marked.join(cold, [key, "__spread"], "left")
-        .withColumn(count, F.coalesce(F.col("__hot"), quoted(count)))
-        .drop("__hot", "__spread")
+    joined = marked.join(cold, [key, "__spread"], "left")
+    return joined.withColumns({c: F.coalesce(F.col(h), quoted(c)) for c, h in held.items()}).drop(
+        "__hot", "__spread", *held.values()
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outcomelens.constants import BUSY_MIN_COUNT, BUSY_TOP_N, SEASON_ORDER
@@ -38,9 +38,13 @@ def outcome_rate(
     )
 
 
-def by_rate(report: DataFrame, keys: Sequence[str], rate: str = "rate_pct") -> DataFrame:
+def rate_order(keys: Sequence[str], rate: str = "rate_pct") -> list[Column]:
     """Highest rate first, ties by key."""
-    return report.orderBy(quoted(rate).desc(), *[quoted(k).asc() for k in keys])
+    return [quoted(rate).desc(), *[quoted(k).asc() for k in keys]]
+
+
+def by_rate(report: DataFrame, keys: Sequence[str], rate: str = "rate_pct") -> DataFrame:
+    return report.orderBy(*rate_order(keys, rate))
 
 
 def by_key(report: DataFrame, key: str) -> DataFrame:
