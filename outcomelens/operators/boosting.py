@@ -15,9 +15,9 @@ from __future__ import annotations
 import random
 from collections.abc import Sequence
 
+from pyspark.ml import Estimator
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorSlicer
-from pyspark.ml.functions import vector_to_array  # noqa: F401  (documented companion of the models)
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from outcomelens.functions.hashing import hash_below, stable_hash
 from outcomelens.operators.columns import quoted
 from outcomelens.operators.model_tables import join_boosted, join_forests, saved
-from outcomelens.session import ensure_checkpoint_dir, materialise
+from outcomelens.session import ensure_checkpoint_dir, materialise, scratch_path
 
 STORE_EVERY = 5
 BATCH_TREES = 20
@@ -39,7 +39,7 @@ def gradient(margin: Column, label: Column, weight: Column) -> tuple[Column, Col
 
 def fit_boosted(
     train: DataFrame,
-    ids: Sequence[str],
+    ids: Sequence[str] = (),
     rounds: int = 400,
     max_depth: int = 9,
     step: float = 0.03,
@@ -50,12 +50,15 @@ def fit_boosted(
     weight: str | None = "weight",
     store_every: int = STORE_EVERY,
 ) -> GBTClassificationModel:
-    """Boost from ``features``, ``label`` and ``weight``; ``ids`` decide which rows a round draws."""
+    """Boost from ``features``, ``label`` and ``weight``.
+
+    ``ids`` decide which rows a round draws; without them it is the row's place in the stored input.
+    """
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
     given = quoted(weight).cast("double") if weight else F.lit(1.0)
     state = train.select(
-        stable_hash(*[quoted(c) for c in ids]).alias("row"),
+        (stable_hash(*[quoted(c) for c in ids]) if ids else F.monotonically_increasing_id()).alias("row"),
         "features",
         F.col("label").cast("double").alias("label"),
         given.alias("weight"),
@@ -66,19 +69,22 @@ def fit_boosted(
     if first is None:
         raise ValueError("no rows to learn from")
     width = first.features.size
-    trees: list[tuple[str, list[float], list[int] | None]] = []
+    folder = scratch_path(spark, "trees")
+    values, places = [], []
     for i in range(rounds):
-        tree, values, places = _grow(state, i, width, max_depth, subsample, column_share, ridge, seed)
-        trees.append((saved(tree), values, places))
+        tree, leaves, drawn = _grow(state, i, width, max_depth, subsample, column_share, ridge, seed)
+        saved(tree, f"{folder}/{i}")
+        values.append(leaves)
+        places.append(drawn)
         if i + 1 < rounds:
-            leaf = F.get(F.array(*[F.lit(v) for v in values]), F.col("leaf").cast("int"))
-            moved = tree.transform(_sliced(state, places)).withColumn("margin", F.col("margin") + F.lit(step) * leaf)
+            leaf = F.get(F.array(*[F.lit(v) for v in leaves]), F.col("leaf").cast("int"))
+            moved = tree.transform(_sliced(state, drawn)).withColumn("margin", F.col("margin") + F.lit(step) * leaf)
             state = moved.select("row", "features", "label", "weight", "margin")
             if (i + 1) % store_every == 0:
                 state = materialise(state, f"boost{i + 1}")
     # Spark's boosted classifier doubles the margin before its logistic curve.
     params = {"maxDepth": max_depth, "maxIter": rounds, "stepSize": step, "subsamplingRate": subsample, "seed": seed}
-    return join_boosted(spark, trees, step / 2, width, params)
+    return join_boosted(spark, folder, values, places, step / 2, width, params)
 
 
 def _sliced(df: DataFrame, places: list[int] | None) -> DataFrame:
@@ -143,3 +149,25 @@ def fit_forest(
             learner = learner.setBootstrap(True)
         paths.append(saved((learner.setWeightCol(weight) if weight else learner).fit(train)))
     return join_forests(spark, paths, {"seed": seed})
+
+
+class NewtonBoosting(Estimator):
+    """:func:`fit_boosted` as the last stage of a pipeline."""
+
+    def __init__(self, **settings: object) -> None:
+        super().__init__()
+        self.settings = settings
+
+    def _fit(self, df: DataFrame) -> GBTClassificationModel:
+        return fit_boosted(df, **self.settings)
+
+
+class BatchedForest(Estimator):
+    """:func:`fit_forest` as the last stage of a pipeline."""
+
+    def __init__(self, **settings: object) -> None:
+        super().__init__()
+        self.settings = settings
+
+    def _fit(self, df: DataFrame) -> RandomForestClassificationModel:
+        return fit_forest(df, **self.settings)

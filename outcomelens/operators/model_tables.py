@@ -23,12 +23,12 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.linalg import DenseMatrix, DenseVector, MatrixUDT, VectorUDT
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from outcomelens.session import scratch_path
 
-_LEAF = F.col("nodeData.leftChild") < 0
 
 
 def _write_metadata(spark: SparkSession, path: str, kind: str, estimator, params: dict, extra: dict) -> None:
@@ -75,17 +75,13 @@ def linear_model(spark: SparkSession, coefficients: Sequence[float], intercept:
 # Trees ---------------------------------------------------------------------------
 
 
-def saved(model: Model) -> str:
+def saved(model: Model, path: str | None = None) -> str:
     """Path of the model, written in the shared folder."""
-    path = scratch_path(model_session(), "model")
+    path = path or scratch_path(SparkSession.active(), "model")
     model.write().overwrite().save(path)
     return path
 
 
-def model_session() -> SparkSession:
-    return SparkSession.active()
-
-
 def tree_nodes(spark: SparkSession, path: str) -> DataFrame:
     """One row per node of a saved ensemble: tree, node, depth-first children, split, value, gain, weight.
 
@@ -95,7 +91,7 @@ def tree_nodes(spark: SparkSession, path: str) -> DataFrame:
     stats = F.col("nodeData.impurityStats")
     per_class = F.aggregate(stats, F.lit(0.0), lambda a, x: a + x)
     is_class = F.lit('"impurity":"variance"' not in _metadata(spark, path).replace(" ", ""))
-    inner = F.when(~_LEAF, F.lit(True))
+    inner = F.col("nodeData.leftChild") >= 0
     return spark.read.parquet(f"{path}/data").select(
         F.col("treeID").alias("tree"),
         F.col("nodeData.id").alias("node"),
@@ -109,11 +105,17 @@ def tree_nodes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def importances(nodes: DataFrame) -> DataFrame:
-    """Rows (feature, importance) of the features that split: gain times weight, each tree and then all as shares."""
-    gained = nodes.filter(F.col("feature").isNotNull()).groupBy("tree", "feature").agg(
+def importances(nodes: DataFrame, per_tree: bool = True) -> DataFrame:
+    """Rows (feature, importance) of the features that split: shares of gain times weight.
+
+    ``per_tree`` gives every tree of a forest the same say; boosted trees count by what they gain.
+    """
+    by = ["tree"] if per_tree else []
+    gained = nodes.filter(F.col("feature").isNotNull()).groupBy(*by, "feature").agg(
         F.sum(F.col("gain") * F.col("weight")).alias("own")
     )
+    if not per_tree:
+        return gained.select("feature", (F.col("own") / gained.agg(F.sum("own")).scalar()).alias("importance"))
     whole = gained.groupBy("tree").agg(F.sum("own").alias("of_tree"))
     shares = gained.join(whole, "tree").filter(F.col("of_tree") > 0)
     summed = shares.groupBy("feature").agg(F.sum(F.col("own") / F.col("of_tree")).alias("part"))
@@ -142,47 +144,46 @@ def join_forests(spark: SparkSession, paths: Sequence[str], params: dict) -> Ran
 
 def join_boosted(
     spark: SparkSession,
-    trees: Sequence[tuple[str, Sequence[float], Sequence[int] | None]],
+    folder: str,
+    values: Sequence[Sequence[float]],
+    places: Sequence[Sequence[int] | None],
     weight: float,
     n_features: int,
     params: dict,
 ) -> GBTClassificationModel:
-    """One boosted model of saved regression trees.
+    """One boosted model of the regression trees saved as ``folder/0``, ``folder/1``...
 
     A tree comes with the values of its leaves, in the order in which the tree numbers them, and
     the places its features have in the whole vector (None: the same). Every tree has the same ``weight``.
     """
-    nodes, heads = [], []
-    for i, (path, values, places) in enumerate(trees):
-        # Leaves are numbered depth first, as nodes are, so the k-th leaf by node id has value k.
-        table = spark.read.parquet(f"{path}/data")
-        leaves = [r.id for r in table.filter("leftChild < 0").select("id").orderBy("id").collect()]  # at most 2 ** depth
-        value_of = _lookup(dict(zip(leaves, map(float, values))))
-        split = F.col("split")
-        if places is not None:
-            used = [r.f for r in table.filter("leftChild >= 0").select(split["featureIndex"].alias("f")).distinct().collect()]
-            place_of = _lookup({f: int(places[f]) for f in used})
-            moved = F.coalesce(place_of(split["featureIndex"]), split["featureIndex"]) if used else split["featureIndex"]
-            split = split.withField("featureIndex", moved)
-        value = F.when(F.col("leftChild") < 0, value_of(F.col("id"))).otherwise(F.col("prediction"))
-        fields = [f.name for f in table.schema]
-        replaced = {"prediction": value, "split": split}
-        nodes.append(table.select(F.lit(i).alias("treeID"), F.struct(*[replaced.get(c, F.col(c)).alias(c) for c in fields]).alias("nodeData")))
-        heads.append((i, _metadata(spark, path), float(weight)))
+    n = len(values)
+    number = F.regexp_extract("_metadata.file_path", r"/(\d+)/(?:data|metadata)/[^/]*$", 1).cast("int")
+    nodes = spark.read.parquet(*[f"{folder}/{i}/data" for i in range(n)]).select("*", number.alias("treeID"))
+    # Leaves are numbered depth first, as nodes are: the k-th leaf by node id has value k.
+    leaf = F.col("leftChild") < 0
+    order = W.partitionBy("treeID", leaf).orderBy("id")  # one tree
+    nodes = nodes.withColumn("k", F.when(leaf, F.row_number().over(order) - 1))
+    known = [(i, k, float(v)) for i, own in enumerate(values) for k, v in enumerate(own)]
+    nodes = nodes.join(spark.createDataFrame(known, "treeID int, k int, value double"), ["treeID", "k"], "left")
+    split, at = F.col("split"), "split.featureIndex"
+    moved = [(i, f, int(to)) for i, own in enumerate(places) if own is not None for f, to in enumerate(own)]
+    if moved:
+        moves = spark.createDataFrame(moved, "treeID int, f int, to int")
+        nodes = nodes.withColumn("f", F.col(at)).join(moves, ["treeID", "f"], "left")
+        split = split.withField("featureIndex", F.coalesce("to", at))
+    replaced = {"prediction": F.when(leaf, F.col("value")).otherwise(F.col("prediction")), "split": split}
+    fields = ("id", "prediction", "impurity", "impurityStats", "rawCount", "gain", "leftChild", "rightChild", "split")
     out = scratch_path(spark, "boosted")
-    _write_metadata(
-        spark, out, "GBTClassificationModel", GBTClassifier(), params, {"numFeatures": n_features, "numTrees": len(trees)}
-    )
-    _union(nodes).write.mode("overwrite").parquet(f"{out}/data")
-    spark.createDataFrame(heads, "_1 int, _2 string, _3 double").write.mode("overwrite").parquet(f"{out}/treesMetadata")
+    _write_metadata(spark, out, "GBTClassificationModel", GBTClassifier(), params, {"numFeatures": n_features, "numTrees": n})
+    packed = F.struct(*[replaced.get(c, F.col(c)).alias(c) for c in fields]).alias("nodeData")
+    nodes.select("treeID", packed).write.mode("overwrite").parquet(f"{out}/data")
+    heads = spark.read.text([f"{folder}/{i}/metadata" for i in range(n)])
+    heads.select(number.alias("_1"), F.col("value").alias("_2"), F.lit(float(weight)).alias("_3")).write.mode(
+        "overwrite"
+    ).parquet(f"{out}/treesMetadata")
     return GBTClassificationModel.load(out)
 
 
-def _lookup(values: dict):
-    table = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
-    return lambda key: F.element_at(table, key)
-
-
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     """Pairwise, so that the plan of many parts is no chain."""
     parts = list(parts)

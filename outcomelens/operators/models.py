@@ -10,18 +10,20 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier,
+    GBTClassificationModel,
     LogisticRegression,
     LogisticRegressionModel,
-    RandomForestClassifier,
 )
-from pyspark.ml.feature import FeatureHasher, Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outcomelens.functions.numeric import above_threshold
+from outcomelens.operators.boosting import BatchedForest, NewtonBoosting
 from outcomelens.operators.columns import quoted
+from outcomelens.operators.encoders import LevelEncoder, LevelEncoderModel, MedianImputer
+from outcomelens.operators.model_tables import importances, saved, tree_nodes
 from outcomelens.session import ensure_checkpoint_dir
 
 IMPUTED = "_imp"
@@ -37,7 +39,7 @@ def hashing_stages(
     stages, inputs = [], []
     if numeric:
         imputed = [c + IMPUTED for c in numeric]
-        stages.append(Imputer(strategy="median", inputCols=list(numeric), outputCols=imputed))
+        stages.append(MedianImputer(inputCols=list(numeric), outputCols=imputed))
         stages.append(VectorAssembler(inputCols=imputed, outputCol="num_vec", handleInvalid="skip"))
     if categorical:
         stages.append(
@@ -77,35 +79,21 @@ def logistic_pipeline(
 
 
 def one_hot_stages(
-    categorical: Sequence[str], numeric: Sequence[str], impute: bool = False
+    categorical: Sequence[str], numeric: Sequence[str], impute: bool = False, out: str = "features"
 ) -> list:
     """One 0/1 slot per level seen in training, then the numeric columns as they are.
 
     An unseen level has no slot: its row is all zeros for that column. A row with a
     missing number is left out, unless ``impute`` gives it the column's median.
     """
-    stages, inputs = [], []
-    if categorical:
-        indexed = [f"__{i}_index" for i in range(len(categorical))]
-        encoded = [f"__{i}_hot" for i in range(len(categorical))]
-        stages.append(
-            StringIndexer(
-                inputCols=list(categorical),
-                outputCols=indexed,
-                handleInvalid="keep",
-                stringOrderType="frequencyDesc",
-            )
-        )
-        # The slot dropped last is the one StringIndexer keeps for unseen levels.
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True))
-        inputs += encoded
+    stages, numbers = [], list(numeric)
     if numeric and impute:
-        imputed = [c + IMPUTED for c in numeric]
-        stages.append(Imputer(strategy="median", inputCols=list(numeric), outputCols=imputed))
-        inputs += imputed
+        numbers = [c + IMPUTED for c in numeric]
+        stages.append(MedianImputer(inputCols=list(numeric), outputCols=numbers))
+    if categorical:
+        stages.append(LevelEncoder(inputCols=list(categorical), numericCols=numbers, outputCol=out))
     else:
-        inputs += list(numeric)
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip"))
+        stages.append(VectorAssembler(inputCols=numbers, outputCol=out, handleInvalid="skip"))
     return stages
 
 
@@ -117,10 +105,9 @@ def mixed_stages(
     impute: bool = False,
 ) -> list:
     """One-hot for the columns named first, hashing for those named second."""
-    stages = one_hot_stages(one_hot, numeric, impute)
     if not hashed:
-        return stages
-    assembler = stages.pop()
+        return one_hot_stages(one_hot, numeric, impute)
+    stages = one_hot_stages(one_hot, numeric, impute, "one_hot")
     stages.append(
         FeatureHasher(
             inputCols=list(hashed),
@@ -129,8 +116,7 @@ def mixed_stages(
             numFeatures=num_features,
         )
     )
-    inputs = [*assembler.getInputCols(), "cat_hashed"]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip"))
+    stages.append(VectorAssembler(inputCols=["one_hot", "cat_hashed"], outputCol="features", handleInvalid="skip"))
     return stages
 
 
@@ -149,20 +135,13 @@ def forest_pipeline(
     min_leaf: int = 2,
     seed: int = 42,
     weight: str | None = "weight",
+    **settings: object,
 ) -> Pipeline:
-    model = RandomForestClassifier(
-        labelCol="label",
-        featuresCol="features",
-        numTrees=num_trees,
-        maxDepth=max_depth,
-        minInstancesPerNode=min_leaf,
-        featureSubsetStrategy="sqrt",
-        checkpointInterval=10,
-        seed=seed,
+    """Trees grown in batches; see :mod:`outcomelens.operators.boosting`."""
+    grown = BatchedForest(
+        num_trees=num_trees, max_depth=max_depth, min_leaf=min_leaf, seed=seed, weight=weight, **settings
     )
-    if weight:
-        model = model.setWeightCol(weight)
-    return Pipeline(stages=[*features, model])
+    return Pipeline(stages=[*features, grown])
 
 
 def boosted_pipeline(
@@ -174,22 +153,20 @@ def boosted_pipeline(
     column_share: float = 0.8,
     seed: int = 42,
     weight: str | None = "weight",
+    **settings: object,
 ) -> Pipeline:
-    """Gradient-boosted trees; columns are drawn per node, as Spark does."""
-    model = GBTClassifier(
-        labelCol="label",
-        featuresCol="features",
-        maxIter=rounds,
-        maxDepth=max_depth,
-        stepSize=step,
-        subsamplingRate=subsample,
-        featureSubsetStrategy=str(column_share),
-        checkpointInterval=10,
+    """Gradient-boosted trees with Newton leaf values; columns and rows are drawn per tree."""
+    boosted = NewtonBoosting(
+        rounds=rounds,
+        max_depth=max_depth,
+        step=step,
+        subsample=subsample,
+        column_share=column_share,
         seed=seed,
+        weight=weight,
+        **settings,
     )
-    if weight:
-        model = model.setWeightCol(weight)
-    return Pipeline(stages=[*features, model])
+    return Pipeline(stages=[*features, boosted])
 
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
@@ -219,16 +196,13 @@ def score_table(
     )
 
 
-def feature_names(model: PipelineModel, sample: DataFrame) -> list[str]:
-    """Names of the assembled features where the stages give any."""
-    described = model.transform(sample.limit(1))
-    attrs = described.schema["features"].metadata.get("ml_attr", {})
-    names = {}
-    for kind in attrs.get("attrs", {}).values():
-        for item in kind:
-            names[item["idx"]] = item.get("name", f"f{item['idx']}")
-    size = attrs.get("num_attrs", len(names))
-    return [names.get(i, f"f{i}") for i in range(size)]
+def feature_names(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """Rows (feature, name) of the places that have a name; hashed slots have none."""
+    for stage in model.stages:
+        if isinstance(stage, LevelEncoderModel):
+            return stage.feature_names()
+    assembled = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    return spark.createDataFrame(list(enumerate(assembled.getInputCols())), "feature int, name string")
 
 
 def feature_count(model: PipelineModel) -> int:
@@ -253,9 +227,9 @@ def strongest(coefficients: DataFrame, n: int = 10, positive: bool = True) -> Da
     return coefficients.orderBy(order, "feature").limit(n)
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel, sample: DataFrame) -> DataFrame:
-    """Importance per named feature of a tree ensemble; only features that were used."""
-    weights = model.stages[-1].featureImportances
-    names = feature_names(model, sample)
-    rows = [(names[int(i)], float(w)) for i, w in zip(weights.indices, weights.values)]
-    return spark.createDataFrame(rows, "feature string, importance double")
+def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """Importance per feature of a tree ensemble, from its table of nodes; only features that were used."""
+    trees = model.stages[-1]
+    weights = importances(tree_nodes(spark, saved(trees)), not isinstance(trees, GBTClassificationModel))
+    named = weights.join(feature_names(spark, model), "feature", "left")
+    return named.select(F.coalesce("name", F.concat(F.lit("f"), F.col("feature"))).alias("feature"), "importance")

@@ -110,7 +110,7 @@ def run_trees(
         pipeline = forest_pipeline(stages, **params)
         weighed = add_class_weights(train, "label", "balanced")
     else:
-        pipeline = boosted_pipeline(stages, **params)
+        pipeline = boosted_pipeline(stages, ids=[c for c in ids if c in train.columns], **params)
         weighed = add_class_weights(train, "label", "positive")
     prepared_in = time.perf_counter() - started
     model = fit(pipeline, weighed)

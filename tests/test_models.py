@@ -54,7 +54,7 @@ def test_trees_learn(spark, tables):
     forest = L.fit(L.forest_pipeline(stages, num_trees=10, max_depth=6), add_class_weights(train, "label"))
     assert quality(forest, test) > 0.8
     assert L.feature_count(forest) == 5 + 13 + 2
-    used = {r.feature: r.importance for r in L.feature_importance(spark, forest, test).collect()}
+    used = {r.feature: r.importance for r in L.feature_importance(spark, forest).collect()}
     assert sum(used.values()) == pytest.approx(1.0)
     assert max(used, key=used.get) == "size"
     boosted = L.fit(
