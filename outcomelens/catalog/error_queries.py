@@ -61,15 +61,6 @@ def jn05(spark, sf):
     return E.error_rates_by(yearly(spark, sf), ["beat"]).select("beat", "total", "FP", "FN")
 
 
-@query(
-    "jn06_scored_rows_with_features",
-    _Y + "SELECT id, label, prediction, round(score, 6) AS score, primary_type, beat, area FROM y",
-)
-def jn06(spark, sf):
-    """Labels, scores and features of a row stay together; nothing is matched by position."""
-    return rounded(yearly(spark, sf).select("id", "label", "prediction", "score", "primary_type", "beat", "area"))
-
-
 @query("ag17_errors_by_primary_type", _rates_sql(_H, "h", "primary_type"))
 def ag17_type(spark, sf):
     return rounded(E.error_rates_by(hourly(spark, sf), ["primary_type"]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import FeatureHasher
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from outcomelens.catalog import query
 from outcomelens.catalog.rate_queries import dated
 from outcomelens.catalog.sample_queries import hash_sql
-from outcomelens.catalog.tables import HOURLY, RAW, raw_text, rounded, with_views
+from outcomelens.catalog.metric_queries import AUC, CELLS, PR_AUC, ranks_sql
+from outcomelens.catalog.tables import HOURLY, RAW, hourly, raw_text, rounded, with_views
 from outcomelens.functions.hashing import HASH_SIZE
 from outcomelens.functions.parsing import parse_flag
+from outcomelens.operators import levels as LV
 from outcomelens.operators import metrics as M
 from outcomelens.operators import models as L
 from outcomelens.operators.cleaning import fill_missing_levels
 from outcomelens.operators.columns import normalize_names
+from outcomelens.operators.model_tables import linear_model
 from outcomelens.operators.sampling import add_class_weights, split_by_hash
 from outcomelens.plans.prepare import prepare_linear, prepare_table
 from outcomelens.session import materialise, scratch_path
@@ -46,7 +49,8 @@ _PLANTED = """, z AS (SELECT id, area, CASE WHEN id % 10 < 8
 
 
 def split(spark, sf):
-    return split_by_hash(planted(spark, sf), ["id"])
+    """Stored once: imputation, levels, training and scoring each read it."""
+    return split_by_hash(materialise(planted(spark, sf), "planted"), ["id"])
 
 
 def logistic(train, **params):
@@ -126,6 +130,34 @@ def fe05_unseen(spark, sf):
     return model.transform(df).select("id", F.aggregate(hot, F.lit(0.0), lambda a, x: a + x).alias("ones"))
 
 
+@query(
+    "fe05_levels_as_a_table",
+    _H
+    + """, u AS (SELECT 0 AS col, block AS level FROM h UNION ALL SELECT 1, beat::varchar FROM h),
+    t AS (SELECT col, level, count(*) AS n FROM u GROUP BY ALL)
+    SELECT col::int AS "column", level, n, row_number() OVER (ORDER BY col, n DESC, level) - 1 AS slot FROM t""",
+)
+def fe05_table(spark, sf):
+    """The levels of two columns, by falling frequency; slots go on from one to the next."""
+    return LV.level_table(hourly(spark, sf), ["block", "beat"])
+
+
+@query(
+    "fe05_slots_of_rows",
+    _H
+    + f""", t AS (SELECT block AS level, row_number() OVER (ORDER BY count(*) DESC, block) - 1 AS slot
+      FROM h WHERE {_SPLIT} >= {int(0.2 * HASH_SIZE)} AND area > 9 GROUP BY block)
+    SELECT id, block, slot FROM h LEFT JOIN t ON block = level""",
+)
+def fe05_slots(spark, sf):
+    """Levels learnt from some rows and attached to all, with the broadcast ruled out; unseen ones have no slot."""
+    rows = hourly(spark, sf).select("id", "block", "area")
+    seen, _ = split_by_hash(rows, ["id"])
+    levels = LV.level_table(seen.filter("area > 9"), ["block"])
+    attached = LV.attach_slots(rows, levels, ["block"], ["id"], broadcast_rows=0)
+    return attached.select("id", "block", F.col("__slot_0").alias("slot"))
+
+
 @query(
     "fe06_assemble_skips_incomplete",
     _R
@@ -245,16 +277,44 @@ def ml03_learns(spark, sf):
     return _learns(boosted(train), test)
 
 
-@query(
-    "sc12_positive_class_score",
-    _H + f"SELECT id, 1.0::double AS both_classes FROM h WHERE {_SPLIT} < {int(0.2 * HASH_SIZE)}",
+#: A model written down rather than fitted: its scores have an exact SQL form.
+#: The numbers are exact in binary, so that equal sums are equal in any order of adding.
+WRITTEN = {"domestic": 0.75, "Hour": -0.0625, "value": 0.0078125}
+INTERCEPT = -0.375
+_SCORED = (
+    _H
+    + """, m AS (SELECT *, 1 / (1 + exp(-("""
+    + " + ".join([f"{w}::double * {c}" if c != "Hour" else f'{w}::double * "Hour"' for c, w in WRITTEN.items()])
+    + f""" + {INTERCEPT}::double))) AS p FROM h),
+    w0 AS (SELECT * EXCLUDE (score, prediction), p AS score, (p >= 0.5)::int AS prediction FROM m) """
 )
+
+
+def written(spark):
+    assembler = L.one_hot_stages([], list(WRITTEN))[-1]
+    return PipelineModel([assembler, linear_model(spark, list(WRITTEN.values()), INTERCEPT)])
+
+
+def written_rows(spark, sf):
+    rows = dated(spark, sf).drop("score", "prediction")
+    return rows.withColumns({c: F.col(c).cast("double") for c in [*WRITTEN, "label"]})
+
+
+@query("sc12_positive_class_score", _SCORED + "SELECT id, round(score, 9) AS score FROM w0")
 def sc12(spark, sf):
-    """The score is the second entry of the probability vector, and both sum to 1."""
-    train, test = split(spark, sf)
-    out = logistic(train).transform(test)
-    negative = vector_to_array("probability")[0]
-    return out.select("id", F.round(negative + L.positive_score(), 9).alias("both_classes"))
+    """The score of a known model is its logistic curve."""
+    scored = L.score_table(written(spark), written_rows(spark, sf), ["id", "label"])
+    return rounded(scored.select("id", "score"), 9)
+
+
+@query(
+    "jn06_scored_rows_with_features",
+    _SCORED + "SELECT id, label::double AS label, prediction, round(score, 6) AS score, primary_type, beat, area FROM w0",
+)
+def jn06(spark, sf):
+    """Labels, scores and features of a row stay together; nothing is matched by position."""
+    kept = ["id", "label", "primary_type", "beat", "area"]
+    return rounded(L.score_table(written(spark), written_rows(spark, sf), kept))
 
 
 @query(
@@ -269,24 +329,119 @@ def sc12_sigmoid(spark, sf):
     return out.select("id", (F.abs(curve - L.positive_score()) < 1e-9).alias("of_positive_class"))
 
 
-@query("ml05_numeric_coefficients")
+TYPES = [f"type_{i}" for i in range(1, 10)]
+
+
+def saturated(spark, sf):
+    """One indicator per type but the first and no penalty, so that the optimum is known.
+
+    Every coefficient is the difference of two log odds.
+    """
+    marks = {f"type_{i}": (F.col("primary_type") == str(i)).cast("double") for i in range(1, 10)}
+    rows = materialise(planted(spark, sf).select("label", "primary_type").withColumns(marks), "marked")
+    return L.fit(L.logistic_pipeline([], TYPES, max_iter=500, reg_param=0.0, tol=1e-9), rows)
+
+
+_LOG_ODDS = (
+    _H
+    + _PLANTED.replace("SELECT id, area,", "SELECT id, primary_type,")
+    + """, o AS (SELECT primary_type AS t, ln(sum(label) / (count(*) - sum(label))) AS odds FROM z GROUP BY ALL),
+    w AS (SELECT 'type_' || t || '_imp' AS feature, odds - (SELECT odds FROM o WHERE t = '0') AS coef FROM o WHERE t <> '0') """
+)
+
+
+@query("ml05_numeric_coefficients", _LOG_ODDS + "SELECT feature, round(coef, 4) AS coef FROM w")
 def ml05(spark, sf):
-    train, _ = split(spark, sf)
-    return L.numeric_coefficients(spark, logistic(train), NUMERIC)
+    return rounded(L.numeric_coefficients(spark, saturated(spark, sf), TYPES), 4)
 
 
-@query("sl03_strongest_coefficients")
+@query(
+    "sl03_strongest_coefficients",
+    _LOG_ODDS
+    + """SELECT feature, round(coef, 4) AS coef, 'positive' AS side FROM (SELECT * FROM w ORDER BY coef DESC, feature LIMIT 3)
+    UNION ALL SELECT feature, round(coef, 4), 'negative' FROM (SELECT * FROM w ORDER BY coef, feature LIMIT 3)""",
+)
 def sl03(spark, sf):
-    train, _ = split(spark, sf)
-    weights = L.numeric_coefficients(spark, logistic(train), NUMERIC)
+    weights = L.numeric_coefficients(spark, saturated(spark, sf), TYPES)
     up = L.strongest(weights, 3).withColumn("side", F.lit("positive"))
-    return up.unionByName(L.strongest(weights, 3, positive=False).withColumn("side", F.lit("negative")))
+    down = L.strongest(weights, 3, positive=False).withColumn("side", F.lit("negative"))
+    return rounded(up.unionByName(down), 4)
+
+
+@query(
+    "ml01_gradient_vanishes",
+    _H
+    + f"""SELECT (SELECT count(*) FROM h WHERE {_SPLIT} >= {int(0.2 * HASH_SIZE)}) AS n_rows,
+    (count(DISTINCT primary_type) + count(DISTINCT beat) + {len(NUMERIC)} + 1) AS n_slots, true AS vanishes
+    FROM h WHERE {_SPLIT} >= {int(0.2 * HASH_SIZE)}""",
+)
+def ml01_gradient(spark, sf):
+    """With the published slots and penalty the gradient of the penalised loss is zero in every slot."""
+    train, _ = split(spark, sf)
+    model = L.fit(L.logistic_pipeline(CATEGORICAL, NUMERIC, tol=1e-10), train)
+    scored = model.transform(train).select("features", "label", L.positive_score().alias("score"))
+    gradient = L.penalised_gradient(spark, model, materialise(scored, "scored"), 0.1)
+    return gradient.agg(
+        F.lit(scored.count()).cast("long").alias("n_rows"),
+        F.count("*").alias("n_slots"),
+        (F.max(F.abs("gradient")) < 1e-5).alias("vanishes"),
+    )
+
+
+def binary_rows(spark, sf):
+    """Two 0/1 features, whose four cells a tree of depth 2 tells apart."""
+    evening = (F.col("Hour") >= 18).cast("double")
+    return planted(spark, sf).select("id", "label", "domestic", evening.alias("evening"))
 
 
-@query("ml06_feature_importance")
+_BINARY = (
+    _H
+    + _PLANTED.replace("SELECT id, area,", 'SELECT id, domestic, ("Hour" >= 18)::int AS evening,')
+    + """, cells AS (SELECT domestic, evening, count(*)::double AS n, sum(label)::double AS p FROM z GROUP BY ALL) """
+)
+
+
+@query(
+    "ml06_feature_importance",
+    _BINARY
+    + """, g AS (SELECT (SELECT 2 * sum(p) * (sum(n) - sum(p)) / sum(n) FROM cells) AS whole,
+    (SELECT sum(x) FROM (SELECT 2 * sum(p) * (sum(n) - sum(p)) / sum(n) AS x FROM cells GROUP BY domestic)) AS a,
+    (SELECT sum(x) FROM (SELECT 2 * sum(p) * (sum(n) - sum(p)) / sum(n) AS x FROM cells GROUP BY evening)) AS b),
+    f AS (SELECT CASE WHEN a < b THEN 'domestic' ELSE 'evening' END AS root, whole - least(a, b) AS top FROM g),
+    k AS (SELECT CASE WHEN root = 'domestic' THEN domestic ELSE evening END AS side, n, p FROM cells, f),
+    c AS (SELECT 2 * sum(p) * (sum(n) - sum(p)) / sum(n) - sum(2 * p * (n - p) / n) AS gain FROM k
+    GROUP BY side HAVING count(DISTINCT 2 * p > n) = 2),
+    r AS (SELECT root AS feature, top AS gain FROM f UNION ALL
+    SELECT CASE WHEN root = 'domestic' THEN 'evening' ELSE 'domestic' END, (SELECT sum(gain) FROM c) FROM f)
+    SELECT feature, round(gain / (SELECT sum(gain) FROM r), 6) AS importance FROM r WHERE gain IS NOT NULL""",
+)
 def ml06(spark, sf):
-    train, test = split(spark, sf)
-    return L.feature_importance(spark, forest(train), test)
+    """The impurity a tree of depth 2 takes away, by the feature that takes it.
+
+    A split whose two leaves say the same is taken back.
+    """
+    stages = L.one_hot_stages([], ["domestic", "evening"])
+    tree = L.forest_pipeline(stages, num_trees=1, max_depth=2, min_leaf=1, weight=None, bootstrap=False)
+    return rounded(L.feature_importance(spark, L.fit(tree, binary_rows(spark, sf))))
+
+
+@query(
+    "ml03_newton_leaf_values",
+    _BINARY
+    + """, one AS (SELECT *, 0.3 * (p - n * 0.5) / (n * 0.25 + 1) AS m FROM cells),
+    two AS (SELECT *, 1 / (1 + exp(-m)) AS q FROM one),
+    three AS (SELECT *, m + 0.3 * (p - n * q) / (n * q * (1 - q) + 1) AS f FROM two)
+    SELECT domestic::double AS domestic, evening::double AS evening, n::bigint AS n, round(1 / (1 + exp(-f)), 9) AS score
+    FROM three""",
+)
+def ml03_newton(spark, sf):
+    """Two rounds without drawing: every leaf takes gradient over curvature, each plus its ridge."""
+    rows = binary_rows(spark, sf)
+    stages = L.one_hot_stages([], ["domestic", "evening"])
+    whole = {"subsample": 1.0, "column_share": 1.0, "weight": None}
+    model = L.fit(L.boosted_pipeline(stages, rounds=2, max_depth=2, step=0.3, **whole), rows)
+    scored = L.score_table(model, rows, ["domestic", "evening"])
+    return rounded(scored.groupBy("domestic", "evening").agg(F.count("*").alias("n"), F.max("score").alias("score")), 9)
 
 
 @query(
@@ -317,11 +472,17 @@ def io08(spark, sf):
     return both.agg(F.count("*").alias("n_rows"), F.count_if(F.col("before") == F.col("after")).alias("n_equal"))
 
 
-@query("ev14_model_evaluation")
+@query(
+    "ev14_model_evaluation",
+    _SCORED
+    + ranks_sql("w0")
+    + f""", c AS (SELECT {CELLS} FROM w0)
+    SELECT round((SELECT {AUC} FROM s), 6) AS roc_auc, round((SELECT {PR_AUC} FROM s), 6) AS pr_auc,
+    round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy, tp, tn, fp, fn FROM c""",
+)
 def ev14(spark, sf):
-    """From training to the summary row."""
-    train, test = split(spark, sf)
-    return rounded(M.run_metrics(L.score_table(logistic(train), test)))
+    """From a model to the summary row of the rows it scores."""
+    return rounded(M.run_metrics(L.score_table(written(spark), written_rows(spark, sf), ["label"])))
 
 
 # Preparation jobs --------------------------------------------------------------

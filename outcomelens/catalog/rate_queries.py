@@ -11,6 +11,7 @@ from outcomelens.operators import features as FE
 from outcomelens.operators import quantiles as Q
 from outcomelens.operators import rates as R
 from outcomelens.operators.columns import normalize_names
+from outcomelens.operators.encoders import MedianImputer
 from outcomelens.operators.ranks import number_rows
 from outcomelens.plans.explore import exploratory_reports
 
@@ -147,24 +148,20 @@ def ag06(spark, sf):
     return rounded(R.rate_by_frequency_bin(hourly(spark, sf), "block", "label", 20))
 
 
-_SAMPLED = "substr(md5(id::varchar), 1, 1) < '8'"
-
-
 @query(
     "ag06_rate_by_stored_frequency",
     _H
     + ", c AS (SELECT block, count(*) AS freq FROM h GROUP BY block),"
-    + f" vals AS (SELECT ln(1 + freq) AS v, label FROM h JOIN c USING (block) WHERE {_SAMPLED}),"
+    + " vals AS (SELECT ln(1 + freq) AS v, label FROM h JOIN c USING (block)),"
     + edges_sql("vals", 20)
     + f""", b AS (SELECT {BIN_SQL} AS bin, v, label, e FROM vals, edges)
     SELECT bin::int AS bin, round(e[bin], 6) AS bin_low, round(e[bin + 1], 6) AS bin_high,
     count(*) AS n, round(100 * avg(label), 6) AS rate_pct FROM b GROUP BY bin, e""",
 )
 def ag06_stored(spark, sf):
-    """On a sample of a prepared table the frequency is that of the whole table (the sample is the feature)."""
+    """A prepared table brings its frequencies along; the report reads them instead of counting again."""
     counted = FE.add_frequency(hourly(spark, sf).select("id", "block", "label"), "block", "BlockFreq", ["id"])
-    sample = counted.filter(F.substring(F.md5(F.col("id").cast("string")), 1, 1) < "8")
-    report = exploratory_reports(sample.withColumnRenamed("block", "Block"), "label")
+    report = exploratory_reports(counted.withColumnRenamed("block", "Block"), "label")
     return rounded(report["rate_by_block_frequency"])
 
 
@@ -217,7 +214,8 @@ def fe03(spark, sf):
         F.col("ward").try_cast("double").alias("ward"),
         F.col("community_area").try_cast("double").alias("area"),
     )
-    return Q.impute_median(df, ["dom", "ward", "area"])
+    columns = ["dom", "ward", "area"]
+    return MedianImputer(inputCols=columns, outputCols=[f"{c}_imp" for c in columns]).fit(df).transform(df)
 
 
 @query(

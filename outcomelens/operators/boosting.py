@@ -129,12 +129,15 @@ def fit_forest(
     min_leaf: int = 2,
     seed: int = 42,
     weight: str | None = "weight",
+    bootstrap: bool = True,
     batch_trees: int = BATCH_TREES,
 ) -> RandomForestClassificationModel:
-    """A forest from stored ``features``, ``label`` and ``weight``, ``batch_trees`` trees at a time."""
+    """A forest from ``features``, ``label`` and ``weight``, ``batch_trees`` trees at a time."""
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
-    train = materialise(train.select("features", "label", *([weight] if weight else [])), "forest")
+    train = train.select("features", "label", *([weight] if weight else []))
+    if num_trees > batch_trees:
+        train = materialise(train, "forest")
     paths = []
     for at in range(0, num_trees, batch_trees):
         learner = RandomForestClassifier(
@@ -143,11 +146,13 @@ def fit_forest(
             minInstancesPerNode=min_leaf,
             featureSubsetStrategy="sqrt",
             checkpointInterval=10,
+            bootstrap=bootstrap,
             seed=seed + at,
         )
-        if num_trees > 1 and num_trees - at == 1:
-            learner = learner.setBootstrap(True)
-        paths.append(saved((learner.setWeightCol(weight) if weight else learner).fit(train)))
+        model = (learner.setWeightCol(weight) if weight else learner).fit(train)
+        if num_trees <= batch_trees:
+            return model
+        paths.append(saved(model))
     return join_forests(spark, paths, {"seed": seed})
 
 

@@ -98,3 +98,11 @@ def sparse_vector(size, indices, values):
     )
     schema = T.StructType([T.StructField("v", VectorUDT())])
     return F.from_json(F.to_json(F.struct(fields.alias("v"))), schema)["v"]
+
+
+def vector_entries(vector):
+    """Array of (slot, value) of a vector column, sparse or dense, without a Python function."""
+    kind = "v struct<type tinyint, size int, indices array<int>, values array<double>>"
+    fields = F.from_json(F.to_json(F.struct(vector.alias("v"))), kind)["v"]
+    slots = F.coalesce(fields["indices"], F.sequence(F.lit(0), F.size(fields["values"]) - 1))
+    return F.arrays_zip(slots.alias("slot"), fields["values"].alias("value"))

@@ -23,6 +23,7 @@ from outcomelens.functions.numeric import above_threshold
 from outcomelens.operators.boosting import BatchedForest, NewtonBoosting
 from outcomelens.operators.columns import quoted
 from outcomelens.operators.encoders import LevelEncoder, LevelEncoderModel, MedianImputer
+from outcomelens.operators.levels import vector_entries
 from outcomelens.operators.model_tables import importances, saved, tree_nodes
 from outcomelens.session import ensure_checkpoint_dir
 
@@ -65,6 +66,7 @@ def logistic_pipeline(
     reg_param: float = 0.1,
     elastic_net: float = 0.0,
     aggregation_depth: int = 2,
+    tol: float = 1e-6,
 ) -> Pipeline:
     model = LogisticRegression(
         labelCol="label",
@@ -74,6 +76,7 @@ def logistic_pipeline(
         elasticNetParam=elastic_net,
         standardization=True,
         aggregationDepth=aggregation_depth,
+        tol=tol,
     )
     return Pipeline(stages=[*hashing_stages(categorical, numeric, num_features), model])
 
@@ -221,6 +224,42 @@ def numeric_coefficients(
     return spark.createDataFrame(rows, "feature string, coef double")
 
 
+def coefficient_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """Rows (slot, coef) of the coefficients other than zero."""
+    linear = next(s for s in model.stages if isinstance(s, LogisticRegressionModel))
+    weights = linear.coefficients.toArray()
+    used = weights.nonzero()[0]
+    return spark.createDataFrame([(int(i), float(weights[i])) for i in used], "slot int, coef double")
+
+
+def penalised_gradient(
+    spark: SparkSession, model: PipelineModel, scored: DataFrame, reg_param: float
+) -> DataFrame:
+    """Rows (slot, gradient) of the ridge-penalised mean loss, by coefficients of unit-variance features.
+
+    ``scored`` has ``features``, ``label`` and ``score``. At the optimum every entry is zero. One pass sums over
+    the entries of the sparse vectors; slot -1 is the intercept.
+    """
+    rows = scored.count()
+    off = F.col("score") - F.col("label")
+    entries = scored.select(off.alias("off"), F.explode(vector_entries(F.col("features"))).alias("e"))
+    sums = entries.groupBy(F.col("e.slot").alias("slot")).agg(
+        F.sum(F.col("off") * F.col("e.value")).alias("slope"),
+        F.sum("e.value").alias("total"),
+        F.sum(F.col("e.value") * F.col("e.value")).alias("squares"),
+    )
+    n = F.lit(float(rows))
+    deviation = F.sqrt((F.col("squares") - F.col("total") * F.col("total") / n) / (n - 1))
+    coef = F.coalesce("coef", F.lit(0.0))
+    slots = (
+        sums.join(coefficient_table(spark, model), "slot", "left")
+        .withColumn("deviation", deviation)
+        .filter(F.col("deviation") > 0)
+        .select("slot", (F.col("slope") / n / F.col("deviation") + F.lit(reg_param) * coef * F.col("deviation")).alias("gradient"))
+    )
+    return slots.unionByName(scored.agg(F.avg(off).alias("gradient")).select(F.lit(-1).alias("slot"), "gradient"))
+
+
 def strongest(coefficients: DataFrame, n: int = 10, positive: bool = True) -> DataFrame:
     """Top (or bottom) coefficients, ties by name."""
     order = F.desc("coef") if positive else F.asc("coef")
