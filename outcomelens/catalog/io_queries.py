@@ -26,6 +26,7 @@ from outcomelens.operators.columns import normalize_names
 from outcomelens.plans.convert import convert_csv
 from outcomelens.plans.linear import SUMMARY_SCHEMA
 from outcomelens.session import scratch_path
+from outcomelens.operators.ranks import number_rows
 from outcomelens.sources import readers as RD
 from outcomelens.sources import writers as WR
 
@@ -124,17 +125,10 @@ def io04(spark, sf):
     '{"type":"Point","coordinates":[' || s_nationkey || ',0]}' AS geometry FROM g""",
 )
 def io04_document(spark, sf):
-    """One FeatureCollection per nation, written whole and read back."""
-    path = scratch_path(spark, "collections")
+    """Features in FeatureCollection documents, read back in byte ranges."""
     named = G.feature_columns(regions(spark, sf), {"area_numbe": "area_numbe", "community": "community"})
-    line = WR.feature_lines(named, ["area_numbe", "community"]).withColumn(
-        "place", F.get_json_object("value", "$.geometry.coordinates[0]")
-    )
-    # A bounded report: the features of one nation are one record of the file format.
-    collection = line.groupBy("place").agg(
-        F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("value")
-    )
-    collection.write.partitionBy("place").mode("overwrite").text(path)
+    path = scratch_path(spark, "collection")
+    WR.write_feature_collections(named, path, ["area_numbe", "community"], per_file=40)
     read = RD.read_geojson(spark, path)
     return G.feature_columns(read, {"area_key": "area_numbe", "community": "community"}).select(
         "area_key", "community", "geometry"
@@ -165,6 +159,23 @@ def io06(spark, sf):
     return back.withColumn("files", F.lit(len(back.inputFiles())).cast("long"))
 
 
+@query(
+    "io06_ordered_parts",
+    _H
+    + """, t AS (SELECT area, count(*) AS n, round(avg(score), 6) AS mean_score FROM h GROUP BY area)
+    SELECT area, n, mean_score, row_number() OVER (ORDER BY mean_score DESC, area) AS line FROM t""",
+)
+def io06_parts(spark, sf):
+    """A table in order over several files; the lines counted through the files in the order of their names."""
+    path = scratch_path(spark, "ordered")
+    by_area = rounded(hourly(spark, sf).groupBy("area").agg(F.count("*").alias("n"), F.avg("score").alias("mean_score")))
+    WR.write_ordered_csv(by_area, path, [F.desc("mean_score"), F.asc("area")], rows_per_file=20)
+    back = spark.read.schema("area int, n long, mean_score double").option("header", True).csv(path)
+    file = F.regexp_extract(F.col("_metadata.file_name"), "part-([0-9]+)", 1).cast("int")
+    placed = back.select("*", file.alias("file"), F.monotonically_increasing_id().alias("at"))
+    return number_rows(placed, [F.col("file").asc(), F.col("at").asc()], "line").drop("file", "at")
+
+
 @query(
     "io07_summary_json",
     _H

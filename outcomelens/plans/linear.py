@@ -21,11 +21,12 @@ from outcomelens.operators.models import (
     logistic_pipeline,
     numeric_coefficients,
     score_table,
+    strongest,
 )
 from outcomelens.operators.sampling import split_by_hash, thin_negatives
 from outcomelens.plans.prepare import prepare_linear
 from outcomelens.session import materialise
-from outcomelens.sources.writers import save_model, write_csv, write_json_row
+from outcomelens.sources.writers import save_model, write_csv, write_json_row, write_ordered_csv
 
 AREA = "community_area"
 
@@ -101,11 +102,15 @@ def run_linear(
 
     if AREA in kept and has_key(scored, AREA):
         reports = f"{base}/by_community"
-        write_csv(M.group_metrics(scored, [AREA]), f"{reports}/metrics_csv", True, [AREA])
-        write_csv(M.accuracy_by_group(scored, [AREA]), f"{reports}/accuracy_csv", True, [AREA])
+        write_ordered_csv(M.group_metrics(scored, [AREA]), f"{reports}/metrics_csv", [F.asc(AREA)])
+        write_ordered_csv(M.accuracy_by_group(scored, [AREA]), f"{reports}/accuracy_csv", [F.asc(AREA)])
     points = M.curve_points(scored)
     write_csv(M.roc_curve(points), f"{base}/curves/roc", True, ["fpr", "tpr"])
     write_csv(M.pr_curve(points), f"{base}/curves/pr", True, ["recall", F.desc("precision")])
+    coefficients = numeric_coefficients(spark, model, numeric)
+    for side, positive in (("top_positive", True), ("top_negative", False)):
+        best = strongest(coefficients, 10, positive)
+        write_csv(best, f"{base}/coefficients/{side}", True, [F.desc("coef") if positive else F.asc("coef"), "feature"])
     save_model(model, f"{base}/model_fast")
 
     summary = {
@@ -116,4 +121,4 @@ def run_linear(
         "runtime_min": (time.time() - started) / 60.0,
     }
     write_json_row(spark, summary, SUMMARY_SCHEMA, f"{base}/metrics")
-    return LinearRun(model, scored, numeric_coefficients(spark, model, numeric), summary)
+    return LinearRun(model, scored, coefficients, summary)

@@ -25,7 +25,7 @@ from outcomelens.operators.models import (
 )
 from outcomelens.operators.sampling import add_class_weights, stratified_split
 from outcomelens.session import materialise
-from outcomelens.sources.writers import write_csv
+from outcomelens.sources.writers import write_csv, write_ordered_csv
 
 # Error reports per category with their length, and per number with bins.
 CATEGORY_REPORTS = (("Primary Type", 15), ("Beat", 20), ("Season", 10), ("Domestic", 5))
@@ -126,7 +126,7 @@ def run_trees(
         if key in scored.columns:
             name = f"metrics_by_{key.lower().replace(' ', '_')}"
             reports[name] = M.group_metrics(scored, [key])
-            write_csv(reports[name], f"{base}/{name}", True, [quoted(key)])
+            write_ordered_csv(reports[name], f"{base}/{name}", [quoted(key).asc()])
     note = ", ".join(f"{k}={v}" for k, v in sorted(params.items()))
     bench = M.benchmark_row(
         scored,

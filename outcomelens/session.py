@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +55,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster without a shared installation the package is sent with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(":")
+    if root not in paths:
+        env["PYTHONPATH"] = ":".join([*filter(None, paths), root])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative trainers cut their lineage here."""
     if not spark.sparkContext.getCheckpointDir():

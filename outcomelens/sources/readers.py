@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from outcomelens.operators.columns import quoted
+from outcomelens.sources.features import feature_texts
 
 _FEATURE = T.StructType(
     [
@@ -16,7 +17,6 @@ _FEATURE = T.StructType(
         T.StructField("geometry", T.StringType()),
     ]
 )
-_COLLECTION = T.StructType([T.StructField("features", T.ArrayType(_FEATURE))])
 
 
 def _text_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -77,18 +77,12 @@ def read_geojson(spark: SparkSession, path: str, layout: str = "document") -> Da
     """Region features: ``properties`` map and ``geometry`` as JSON text.
 
     ``lines``: one feature per line, as :func:`writers.write_feature_lines` writes
-    it; such files split over many tasks. ``document``: each file is one
-    FeatureCollection, so one record, which one task reads whole at any size; large
-    collections are better kept as lines.
+    it. ``document``: each file is a FeatureCollection, of any size; see :mod:`outcomelens.sources.features`.
     """
     if layout == "lines":
-        lines = spark.read.text(path)
-        return lines.select(F.from_json("value", _FEATURE).alias("f")).select("f.*")
-    if layout != "document":
+        texts = spark.read.text(path).withColumnRenamed("value", "text")
+    elif layout == "document":
+        texts = feature_texts(spark, path)
+    else:
         raise ValueError(f"unknown layout: {layout}")
-    docs = spark.read.text(path, wholetext=True)
-    return (
-        docs.select(F.from_json("value", _COLLECTION).alias("doc"))
-        .select(F.explode("doc.features").alias("f"))
-        .select("f.*")
-    )
+    return texts.select(F.from_json("text", _FEATURE).alias("f")).select("f.*")

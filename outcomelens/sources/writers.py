@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from outcomelens.operators.ranks import RANGE_ROWS, number_rows
+from outcomelens.session import materialise
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Overwrite ``path``; returns the row count, read from the new files' footers.
@@ -51,6 +54,29 @@ def write_csv(
     writer.csv(path)
 
 
+def write_ordered_csv(
+    df: DataFrame, path: str, order_by: Sequence[Column], header: str = "each", rows_per_file: int = RANGE_ROWS
+) -> None:
+    """CSV in one order over as many files as the table needs; files follow one another by name.
+
+    Rows are dealt into ascending ranges, so nothing is gathered. ``header``: ``each`` file has one, as
+    Spark's reader wants it, or the ``first`` only, so that the files can be strung together.
+    """
+    stored = materialise(df, "ordered")
+    files = max(1, -(-stored.count() // rows_per_file))
+    rows = stored.repartitionByRange(files, *order_by).sortWithinPartitions(*order_by)
+    if header == "each":
+        write_csv(rows, path)
+        return
+    if header != "first":
+        raise ValueError(f"unknown header: {header}")
+    options = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    head = df.sparkSession.createDataFrame([tuple(df.columns)], ", ".join(f"c{i} string" for i in range(len(df.columns))))
+    lines = rows.select(F.to_csv(F.struct(*[F.col(f"`{c}`") for c in df.columns]), options).alias("value"))
+    # Files are numbered by the task that writes them: the header's partition comes first.
+    head.coalesce(1).select(F.to_csv(F.struct("*"), options).alias("value")).union(lines).write.mode("overwrite").text(path)
+
+
 def write_json_row(spark: SparkSession, row: Mapping[str, object], schema: T.StructType, path: str) -> None:
     """One-row JSON file, overwrite."""
     values = tuple(row.get(f.name) for f in schema.fields)
@@ -92,6 +118,34 @@ def write_feature_lines(
     feature_lines(df, property_cols, geometry).write.mode("overwrite").text(path)
 
 
+def write_feature_collections(
+    df: DataFrame,
+    path: str,
+    property_cols: Sequence[str],
+    geometry: str = "geometry",
+    per_file: int = 100_000,
+) -> None:
+    """FeatureCollection documents of at most ``per_file`` features, each a file in a folder of its own.
+
+    A task holds one line of a file at a time: features are lines between a first and a last line.
+    """
+    lines = feature_lines(df, property_cols, geometry).withColumn("at", F.monotonically_increasing_id())
+    numbered = number_rows(lines, [F.asc("at")], "place").drop("at")
+    inside = F.pmod(F.col("place") - 1, F.lit(per_file))
+    placed = numbered.select(
+        F.expr(f"(place - 1) div {per_file}").alias("file"),
+        inside.alias("at"),
+        F.concat(F.when(inside > 0, F.lit(",")).otherwise(F.lit("")), F.col("value")).alias("value"),
+    )
+    ends = F.array(
+        F.struct(F.lit(-1).cast("long").alias("at"), F.lit('{"type":"FeatureCollection","features":[').alias("value")),
+        F.struct(F.lit(per_file).cast("long").alias("at"), F.lit("]}").alias("value")),
+    )
+    framed = placed.unionByName(placed.select("file").distinct().select("file", F.inline(ends)))
+    files = framed.repartition("file").sortWithinPartitions("file", "at").drop("at")
+    files.write.partitionBy("file").mode("overwrite").text(path)
+
+
 def spread(df: DataFrame, partitions: int, keys: Sequence[str] = ()) -> DataFrame:
     """Set the number of partitions before a wide write or a training run."""
     return df.repartition(partitions, *keys)
