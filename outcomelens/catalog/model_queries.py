@@ -22,7 +22,7 @@ from outcomelens.operators.columns import normalize_names
 from outcomelens.operators.model_tables import linear_model
 from outcomelens.operators.sampling import add_class_weights, split_by_hash
 from outcomelens.plans.prepare import prepare_linear, prepare_table
-from outcomelens.session import materialise, scratch_path
+from outcomelens.session import materialise, scratch_path, spread_rows
 from outcomelens.sources.writers import load_model, save_model
 
 _H = with_views(HOURLY)
@@ -50,7 +50,7 @@ _PLANTED = """, z AS (SELECT id, area, CASE WHEN id % 10 < 8
 
 def split(spark, sf):
     """Stored once: imputation, levels, training and scoring each read it."""
-    return split_by_hash(materialise(planted(spark, sf), "planted"), ["id"])
+    return split_by_hash(materialise(spread_rows(planted(spark, sf)), "planted"), ["id"])
 
 
 def logistic(train, **params):

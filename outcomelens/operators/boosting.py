@@ -2,8 +2,8 @@
 
 Spark's own boosting draws columns per node and takes the mean of a leaf's residuals. Here every round
 draws its columns and rows once, fits one Spark regression tree to the Newton step ``-g / h`` with weight ``h`` (whose
-variance gain is the usual gain in ``G**2 / H``), and sets each leaf to ``-G / (H + ridge)`` from one
-grouped sum. Margins travel with the rows and are stored every few rounds, so a plan holds a few trees only and a lost
+variance gain is the usual gain in ``G**2 / H``), and sets each leaf to ``-G / (H + ridge)``: the tree's mean
+is ``-G / H`` and its table of nodes holds ``H``. Margins travel with the rows and are stored every few rounds, so a plan holds a few trees only and a lost
 executor costs a re-read.
 
 A forest of many deep trees is grown a batch at a time: a row carries the sampling counts of one batch only.
@@ -19,13 +19,13 @@ from pyspark.ml import Estimator
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outcomelens.functions.hashing import hash_below, stable_hash
 from outcomelens.operators.columns import quoted
 from outcomelens.operators.model_tables import join_boosted, join_forests, saved
-from outcomelens.session import ensure_checkpoint_dir, materialise, scratch_path
+from outcomelens.session import ensure_checkpoint_dir, materialise, scratch_path, spread_rows
 
 STORE_EVERY = 5
 BATCH_TREES = 20
@@ -64,7 +64,7 @@ def fit_boosted(
         given.alias("weight"),
         F.lit(0.0).alias("margin"),
     )
-    state = materialise(state, "boost0")
+    state = materialise(spread_rows(state), "boost0")
     first = state.select("features").first()
     if first is None:
         raise ValueError("no rows to learn from")
@@ -72,8 +72,8 @@ def fit_boosted(
     folder = scratch_path(spark, "trees")
     values, places = [], []
     for i in range(rounds):
-        tree, leaves, drawn = _grow(state, i, width, max_depth, subsample, column_share, ridge, seed)
-        saved(tree, f"{folder}/{i}")
+        tree, drawn = _grow(state, i, width, max_depth, subsample, column_share, seed)
+        leaves = leaf_values(spark, saved(tree, f"{folder}/{i}"), ridge)
         values.append(leaves)
         places.append(drawn)
         if i + 1 < rounds:
@@ -93,8 +93,8 @@ def _sliced(df: DataFrame, places: list[int] | None) -> DataFrame:
     return VectorSlicer(inputCol="features", outputCol="drawn", indices=places).transform(df)
 
 
-def _grow(state, i, width, max_depth, subsample, column_share, ridge, seed):
-    """The tree of one round, the values of its leaves, and the columns it saw."""
+def _grow(state, i, width, max_depth, subsample, column_share, seed):
+    """The tree of one round and the columns it saw."""
     places = None
     if column_share < 1.0:
         wanted = max(1, round(width * column_share))
@@ -115,11 +115,17 @@ def _grow(state, i, width, max_depth, subsample, column_share, ridge, seed):
         minInstancesPerNode=1,
         seed=seed + i,
     )
-    tree = learner.fit(rows.select("drawn", "step", "h"))
-    sums = tree.transform(rows.select("drawn", "g", "h")).groupBy("leaf").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-    found = {int(r.leaf): -r.g / (r.h + ridge) for r in sums.collect()}  # at most 2 ** max_depth rows
-    leaves = (tree.numNodes + 1) // 2
-    return tree, [found.get(k, 0.0) for k in range(leaves)], places
+    return learner.fit(rows.select("drawn", "step", "h")), places
+
+
+def leaf_values(spark: SparkSession, path: str, ridge: float) -> list[float]:
+    """Newton values of a saved tree's leaves, in the order in which the tree numbers them.
+
+    Leaves are numbered depth first, as nodes are. There are at most ``2 ** max_depth``.
+    """
+    h = F.col("impurityStats")[0]  # summed weights, which are the curvatures
+    leaves = spark.read.parquet(f"{path}/data").filter("leftChild < 0")
+    return [r.value for r in leaves.select("id", (F.col("prediction") * h / (h + F.lit(ridge))).alias("value")).orderBy("id").collect()]
 
 
 def fit_forest(
@@ -136,8 +142,7 @@ def fit_forest(
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
     train = train.select("features", "label", *([weight] if weight else []))
-    if num_trees > batch_trees:
-        train = materialise(train, "forest")
+    train = materialise(spread_rows(train), "forest")
     paths = []
     for at in range(0, num_trees, batch_trees):
         learner = RandomForestClassifier(

@@ -36,10 +36,11 @@ def attach(
     count: str,
     spread_by: Sequence[str] = (),
     broadcast_rows: int = BROADCAST_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """Left join of ``values`` from ``table`` (one row per ``key`` with its row ``count``) to ``df``.
 
-    The table is written once and its size taken: up to ``broadcast_rows`` rows and
+    The table is written once, unless ``stored`` says that it is, and its size taken: up to ``broadcast_rows`` rows and
     ``BROADCAST_KEY_BYTES`` of key text it is broadcast and ``df`` is not shuffled at all. A larger one is joined by a
     shuffle in which no task gets a hot key whole: keys holding at least one in
     ``HOT_KEYS`` of all rows (so never more than ``HOT_KEYS`` of them) are
@@ -47,22 +48,24 @@ def attach(
     ``spread_by`` (default: all columns).
     """
     wanted = list(dict.fromkeys([*values, count]))
-    stored = materialise(table.select(quoted(key), *[quoted(c) for c in wanted]), "counts")
-    size = stored.agg(
+    table = table.select(quoted(key), *[quoted(c) for c in wanted])
+    if not stored:
+        table = materialise(table, "counts")
+    size = table.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.octet_length(quoted(key).cast("string"))), F.lit(0)).alias("key_bytes"),
     ).first()
     if size.rows <= broadcast_rows and size.key_bytes <= BROADCAST_KEY_BYTES:
-        return df.join(F.broadcast(stored.select(quoted(key), *[quoted(c) for c in values])), key, "left")
+        return df.join(F.broadcast(table.select(quoted(key), *[quoted(c) for c in values])), key, "left")
 
-    total = stored.agg(F.sum(quoted(count))).scalar()
+    total = table.agg(F.sum(quoted(count))).scalar()
     is_hot = quoted(count) * F.lit(HOT_KEYS) >= total
     held = {c: f"__hot_{i}" for i, c in enumerate(values)}
-    hot = stored.filter(is_hot).select(quoted(key), F.lit(True).alias("__hot"), *[quoted(c).alias(h) for c, h in held.items()])
+    hot = table.filter(is_hot).select(quoted(key), F.lit(True).alias("__hot"), *[quoted(c).alias(h) for c, h in held.items()])
     hot_bytes = hot.agg(F.coalesce(F.sum(F.octet_length(quoted(key).cast("string"))), F.lit(0)).alias("b")).first().b
     if hot_bytes <= BROADCAST_KEY_BYTES:
         hot = F.broadcast(hot)  # else Spark's own skew handling has to do
-    cold = stored.filter(~is_hot).select(quoted(key), *[quoted(c) for c in values], F.lit(0).alias("__spread"))
+    cold = table.filter(~is_hot).select(quoted(key), *[quoted(c) for c in values], F.lit(0).alias("__spread"))
 
     by = [quoted(c) for c in (spread_by or df.columns)]
     scattered = F.lit(1) + F.pmod(F.xxhash64(*by), F.lit(SPREAD)).cast("int")

@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from outcomelens.operators.columns import quoted
 from outcomelens.operators.joins import BROADCAST_ROWS, attach
 from outcomelens.operators.ranks import number_rows
-from outcomelens.session import materialise
 
 SLOT = "__slot_{}"
 
@@ -38,8 +37,7 @@ def level_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     order = [F.col("column").asc(), F.col("n").desc(), F.col("level").asc()]
-    numbered = number_rows(counted, order, "slot").withColumn("slot", F.col("slot") - 1)
-    return materialise(numbered, "levels")
+    return number_rows(counted, order, "slot").withColumn("slot", F.col("slot") - 1)
 
 
 def attach_slots(
@@ -54,7 +52,7 @@ def attach_slots(
         key = f"__level_{i}"
         own = levels.filter(F.col("column") == i).select(F.col("level").alias(key), F.col("slot").alias(SLOT.format(i)), "n")
         df = df.withColumn(key, quoted(name).cast("string"))
-        df = attach(df, own, key, [SLOT.format(i)], "n", spread_by, broadcast_rows).drop(key)
+        df = attach(df, own, key, [SLOT.format(i)], "n", spread_by, broadcast_rows, stored=True).drop(key)
     return df
 
 

@@ -23,7 +23,6 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.linalg import DenseMatrix, DenseVector, MatrixUDT, VectorUDT
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -159,24 +158,21 @@ def join_boosted(
     n = len(values)
     number = F.regexp_extract("_metadata.file_path", r"/(\d+)/(?:data|metadata)/[^/]*$", 1).cast("int")
     nodes = spark.read.parquet(*[f"{folder}/{i}/data" for i in range(n)]).select("*", number.alias("treeID"))
-    # Leaves are numbered depth first, as nodes are: the k-th leaf by node id has value k.
-    leaf = F.col("leftChild") < 0
-    order = W.partitionBy("treeID", leaf).orderBy("id")  # one tree
-    nodes = nodes.withColumn("k", F.when(leaf, F.row_number().over(order) - 1))
-    known = [(i, k, float(v)) for i, own in enumerate(values) for k, v in enumerate(own)]
-    nodes = nodes.join(spark.createDataFrame(known, "treeID int, k int, value double"), ["treeID", "k"], "left")
-    split, at = F.col("split"), "split.featureIndex"
-    moved = [(i, f, int(to)) for i, own in enumerate(places) if own is not None for f, to in enumerate(own)]
-    if moved:
-        moves = spark.createDataFrame(moved, "treeID int, f int, to int")
-        nodes = nodes.withColumn("f", F.col(at)).join(moves, ["treeID", "f"], "left")
-        split = split.withField("featureIndex", F.coalesce("to", at))
-    replaced = {"prediction": F.when(leaf, F.col("value")).otherwise(F.col("prediction")), "split": split}
-    fields = ("id", "prediction", "impurity", "impurityStats", "rawCount", "gain", "leftChild", "rightChild", "split")
+    # A model lives on the driver, and so do its nodes here. The k-th leaf by node id has value k.
+    schema = T.StructType([T.StructField("treeID", T.IntegerType()), T.StructField("nodeData", nodes.drop("treeID").schema)])
+    rows, seen = [], [0] * n
+    for row in sorted(nodes.collect(), key=lambda r: (r.treeID, r.id)):
+        node = row.asDict(recursive=True)
+        i = node.pop("treeID")
+        if node["leftChild"] < 0:
+            node["prediction"] = float(values[i][seen[i]])
+            seen[i] += 1
+        elif places[i] is not None:
+            node["split"]["featureIndex"] = int(places[i][node["split"]["featureIndex"]])
+        rows.append((i, node))
     out = scratch_path(spark, "boosted")
     _write_metadata(spark, out, "GBTClassificationModel", GBTClassifier(), params, {"numFeatures": n_features, "numTrees": n})
-    packed = F.struct(*[replaced.get(c, F.col(c)).alias(c) for c in fields]).alias("nodeData")
-    nodes.select("treeID", packed).write.mode("overwrite").parquet(f"{out}/data")
+    spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{out}/data")
     heads = spark.read.text([f"{folder}/{i}/metadata" for i in range(n)])
     heads.select(number.alias("_1"), F.col("value").alias("_2"), F.lit(float(weight)).alias("_3")).write.mode(
         "overwrite"

@@ -73,6 +73,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+#: Rows that one task of a trainer should hold about.
+TASK_ROWS = 1_000_000
+
+
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over tasks: one per core at least, one per ``TASK_ROWS`` rows if those are more.
+
+    For input that many passes are to read; a small table may come in one file, and so in one task.
+    """
+    wanted = -(-df.count() // TASK_ROWS)
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, wanted))
+
+
 def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
