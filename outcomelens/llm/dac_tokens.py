@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -44,12 +45,14 @@ from outcomelens.session import materialise, scratch_path
 
 CHUNK_BITS = 8
 BLOCK = 512
-FILE_IDS = 8_000_000
+FILE_IDS = 2_000_000
 END_ID = 2
 MAGIC = b"DACT1\0\0\0"
-#: Entries of the per-worker cache of encoded units; the older half goes when it is full.
-CACHE_UNITS = 1_000_000
+#: Entries of each of a worker's two generations of encoded units.
+CACHE_UNITS = 250_000
 LONGEST_CACHED = 64
+#: Characters encoded at once; the more, the fewer different units per unit.
+CHUNK_CHARS = 4 << 20
 
 
 # ---- codes -----------------------------------------------------------------------------
@@ -153,7 +156,8 @@ _UNIT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 #: A text with one of these takes the slower way, which cuts at every kind of white space.
 _UNUSUAL = ("\0", "\t", "\x0b", "\x0c", "\r", "  ", "\n ", " \n", "\n\n\n")
 _UNUSUAL_WIDE = tuple(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Signs at the end of a unit are a piece of their own, and so a unit of their own.
+_TAIL = r"([\p{L}\p{N}])([!-/:-@\[-`{-~]+)( |$)"
 #: Marks a unit that stands in the cache as it is; others stand there without their space.
 _AS_IS = "\0"
 
@@ -163,7 +167,8 @@ class UnitEncoder:
 
     The vocabulary's pattern lets no piece reach from a letter, digit or sign into the white space
     behind it, so white space and the run after it (a unit) encode alike wherever they stand. The
-    library encodes every unit that the worker has not met lately. Many are joined into one text, which
+    library encodes every unit that the worker has not met lately; the units of many texts are told apart and
+    their ids put together as arrays. Many are joined into one text, which
     is cut again by the byte lengths of the pieces. A text that holds a special token's string goes to
     the library whole.
     """
@@ -177,71 +182,86 @@ class UnitEncoder:
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for piece, i in vocabulary.items():
             self.bytes_of[i] = len(piece)  # one character of a piece stands for one byte
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # met lately
+        self.older: dict[str, bytes] = {}  # and before; goes when the first is full
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _learn(self, units: list[str]) -> None:
+    def _learn(self, units: list[str]) -> dict[str, bytes]:
         """Units that are a space and a run without white space: one text, cut again by byte lengths."""
         raw = self._library([" " + " ".join(units)])[0]
         ends = np.cumsum(self.bytes_of[np.frombuffer(raw, "<u4")])
         cuts = np.searchsorted(ends, np.cumsum([len(u.encode()) + 1 for u in units])) + 1
         edges = [0, *(cuts * 4).tolist()]
-        self.known.update((u, raw[a:b]) for u, a, b in zip(units, edges, edges[1:]))
+        return {u: raw[a:b] for u, a, b in zip(units, edges, edges[1:])}
 
-    def _units(self, text: str) -> list[str]:
-        """Cache keys of the units; of a usual text they are what stands between its spaces."""
-        if (
+    def _usual(self, text: str) -> bool:
+        """Whether the text's units are what stands between its spaces."""
+        return not (
             not text
             or text[0] in " \n"
             or text[-1] in " \n"
             or any(c in text for c in _UNUSUAL)
             or not (text.isascii() or not any(c in text for c in _UNUSUAL_WIDE))
-        ):
-            return [_AS_IS + u for u in _UNIT.findall(text)]
-        units = text.replace("\n", " \n").split(" ")
-        units[0] = _AS_IS + units[0]
-        return units
-
-    def _add(self, new: set[str]) -> None:
-        """Signs at the end of a unit are a piece of their own, so only what is before them is looked up."""
-        spaced, as_is, joined = set(), set(), []
+        )
+
+    def _new(self, new: list[str]) -> dict[str, bytes]:
+        found, spaced, as_is = {}, [], []
         for unit in new:
-            base = unit.rstrip(_SIGNS)
-            if len(base) < len(unit) and base and base[-1].isalnum():
-                tail = _AS_IS + unit[len(base) :]
-                joined.append((unit, base, tail))
-                if tail not in self.known:
-                    as_is.add(tail)
-                if base in self.known:
-                    continue
-            else:
-                base = unit
-            (as_is if base[:1] in (_AS_IS, "\n") or not base else spaced).add(base)
-        plain = list(spaced)
-        for at in range(0, len(plain), 2000):
-            self._learn(plain[at : at + 2000])
+            (as_is if unit[:1] in (_AS_IS, "\n", "") else spaced).append(unit)
+        for at in range(0, len(spaced), 2000):
+            found.update(self._learn(spaced[at : at + 2000]))
         # An empty unit is a lone space.
-        other = list(as_is)
-        self.known.update(zip(other, self._library([u.removeprefix(_AS_IS) if u else " " for u in other])))
-        known = self.known
-        known.update((unit, known[base] + known[tail]) for unit, base, tail in joined)
+        found.update(zip(as_is, self._library([u.removeprefix(_AS_IS) if u else " " for u in as_is])))
+        return found
+
+    def _lookup(self, units: list[str]) -> list[bytes]:
+        """Codes of different units; those met again move to the younger generation."""
+        found = list(map(self.known.get, units))
+        lacking = [i for i, code in enumerate(found) if code is None]
+        names = [units[i] for i in lacking]
+        codes = list(map(self.older.get, names))
+        new = self._new([u for u, code in zip(names, codes) if code is None])
+        codes = [new[u] if code is None else code for u, code in zip(names, codes)]
+        for i, code in zip(lacking, codes):
+            found[i] = code
+        if len(self.known) + len(names) > CACHE_UNITS:
+            self.older, self.known = self.known, {}
+        self.known.update((u, code) for u, code in zip(names, codes) if len(u) <= LONGEST_CACHED)
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [None if any(s in t for s in self.special) else self._units(t) for t in texts]
-        if len(self.known) > CACHE_UNITS:
-            for unit in list(self.known)[: CACHE_UNITS // 2]:
-                del self.known[unit]
-        new = set().union(*[c for c in cut if c]) - self.known.keys()
-        self._add(new)
-        get = self.known.__getitem__
-        out = [self._library([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
-        for unit in new:
-            if len(unit) > LONGEST_CACHED:
-                del self.known[unit]
+        special = [any(s in t for s in self.special) for t in texts]
+        usual = [not s and self._usual(t) for s, t in zip(special, texts)]
+        # Units of the usual texts are cut, and all units told apart, without a Python object for each.
+        marked = pa.array([_AS_IS + t for t, u in zip(texts, usual) if u], pa.large_string())
+        cut = pc.replace_substring(marked, "\n", " \n")
+        cut = pc.split_pattern(pc.replace_substring_regex(cut, _TAIL, "\\1 \0\\2\\3"), " ")
+        odd = [[] if s else [_AS_IS + u for u in _UNIT.findall(t)] for s, u, t in zip(special, usual, texts) if not u]
+        sizes = np.zeros(len(texts), np.int64)
+        is_usual = np.array(usual, bool)
+        sizes[is_usual] = pc.list_value_length(cut).to_numpy(zero_copy_only=False)
+        sizes[~is_usual] = [len(u) for u in odd]
+        order = np.concatenate((np.flatnonzero(is_usual), np.flatnonzero(~is_usual)))
+        others = pa.array([u for own in odd for u in own], pa.large_string())
+        told = pa.concat_arrays([cut.flatten(), others]).dictionary_encode()
+        codes = told.indices.to_numpy()
+        pieces = self._lookup(told.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        starts = np.cumsum(lengths) - lengths
+        ids = np.frombuffer(b"".join(pieces), "<u4")
+        taken = lengths[codes]
+        ends = np.cumsum(taken)
+        places = np.repeat(starts[codes] - (ends - taken), taken)
+        places += np.arange(len(places))
+        ids = ids[places]
+        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes[order])))]
+        out: list[bytes] = [b""] * len(texts)
+        for i, a, b in zip(order.tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+            out[i] = self._library([texts[i]])[0] if special[i] else ids[a:b].tobytes()
         return out
 
 
@@ -260,6 +280,21 @@ def encoder(path: str) -> UnitEncoder:
 _MANIFEST = "part int, seq int, path string, n_docs long, n_ids long"
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str]]]:
+    """Ids and texts of consecutive documents, ``CHUNK_CHARS`` characters or one document at least."""
+    names, texts, size = [], [], 0
+    for batch in batches:
+        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            names.append(doc)
+            texts.append(text or "")
+            size += len(text or "")
+            if size >= CHUNK_CHARS:
+                yield names, texts
+                names, texts, size = [], [], 0
+    if names:
+        yield names, texts
+
+
 def _write(folder: str, vocabulary: str, end_id: int, file_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -282,9 +317,8 @@ def _write(folder: str, vocabulary: str, end_id: int, file_ids: int):
             kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row.values(), kinds)], list(row))
 
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc, raw in zip(batch.column("doc_id").to_pylist(), codec.encode(texts)):
+        for names, texts in _chunks(batches):
+            for doc, raw in zip(names, codec.encode(texts)):
                 if docs and ends[-1] + len(raw) // 4 + 1 > file_ids:
                     yield close()
                 docs.append(doc)
