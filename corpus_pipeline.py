@@ -1,7 +1,12 @@
 """From raw documents to token files, in five stages.
 
 Every stage is a function of (spark, docs, sf_dir). Its result is written as Parquet and read again as
-the next stage's documents; all but the last return the columns of their input.
+the next stage's documents; all but the last return the columns of their input, whatever others they have beside
+those of ``documents``.
+
+Defined results
+    Null, empty and letterless texts have no language and go in the first stage. Null ids and sources pass: a null source is one of its own
+    in the mix. Repeated rows are near-duplicates of one another, so one of them stays. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outcomelens.llm import dac_tokens, es_mixing, simhash_ball, suffix_decontam, viterbi_langid
-from outcomelens.llm.common import held_out, table
+from outcomelens.llm.common import held_out, n_words, table
 from outcomelens.session import materialise
 
 #: A document whose language holds a smaller share of its words is rejected.
@@ -42,10 +47,23 @@ def letter_share(text: Column) -> Column:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    mixed = es_mixing.mix(docs, weight=letter_share(F.col("doc.text")))
+    """Each document as often as the mix takes it.
+
+    Sizes and weights are taken from the texts once and stored; the mix reads them several times.
+    """
+    text = F.col("text")
+    sized = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        "doc_id",
+        "source",
+        n_words(text).alias("size"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("tie"),
+        letter_share(text).alias("weight"),
+    )
+    columns = {name: F.col(f"doc.{name}") for name in ("size", "tie", "weight")}
+    mixed = es_mixing.mix(materialise(sized, "sized"), **columns)
     times = mixed.filter(F.col("times") > 0).select("doc", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
-    return times.select("doc.*")
+    return times.select("doc.row.*")
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -241,11 +241,16 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The documents without those that another of their component stands for."""
-    kept = near_duplicates(docs, **options).filter("kept").select(F.col("row").alias("__kept"))
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    stays = numbered.join(materialise(kept, "kept"), F.col("__row") == F.col("__kept"), "left_semi")
-    return stays.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents without those that another of their component stands for.
+
+    What goes is less than what stays, so the rows that go are joined; the documents move only where those are
+    too many for a broadcast.
+    """
+    gone = near_duplicates(docs, **options).filter(~F.col("kept")).select(F.col("row").alias("gone"))
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    )
+    return numbered.join(materialise(gone, "gone"), F.col("row") == F.col("gone"), "left_anti").select("doc.*")
 
 
 def hexadecimal(fp: Column) -> Column:

@@ -105,3 +105,45 @@ def test_token_files_and_run(spark, sf, stages):
     names = ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert sorted(tuple(r[c] for c in names) for r in after) == want
     assert sorted(tuple(r[c] for c in names) for r in pipeline.run(spark, sf).collect()) == want
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, size long, weight string, doc string"
+ENGLISH = "the quick brown fox jumps over the lazy dog and runs far away from here again"
+FRENCH = "le petit chat est dans la maison et il dort sur le lit avec une souris"
+
+
+def awkward():
+    rows = [(i, f"{ENGLISH} number {i} of many others we have seen", "en", "a", i) for i in range(40)]
+    rows += [(100 + i, f"{FRENCH} numéro {i} parmi les autres que nous avons", "fr", None, i) for i in range(40)]
+    rows += [(1, rows[1][1], "en", "a", 1), (1, rows[1][1], "en", "a", 1), (None, rows[5][1], "en", "b", None)]
+    rows += [(200, None, None, None, None), (201, "", "en", "a", 0), (202, " \n ", "fr", "b", 3), (203, "12 34 %%", None, "a", 8)]
+    rows += [(204, "word " * 60_000, "en", "b", 9)]
+    return [(*r, "own", 7, None, "d") for r in rows]
+
+
+@pytest.mark.parametrize("rows", [awkward(), []], ids=["awkward", "empty"])
+def test_stages_take_awkward_rows(spark, sf, tmp_path, rows):
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(str(tmp_path / "docs"))
+    docs, seen = spark.read.parquet(str(tmp_path / "docs")), {}
+    columns = docs.columns
+    for name, stage in pipeline.STAGES:
+        stage(spark, docs, sf).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert name == "token_files" or docs.columns == columns
+        seen[name] = docs.collect()
+    assert all(r.doc_id not in (200, 201, 202, 203) for r in seen["language_id"])
+    assert Counter(r.doc_id for r in seen["near_dedup"]).get(1, 0) <= 1
+    if rows:
+        assert len(seen["language_id"]) >= 80 and seen["token_files"]
+        assert {(r.row, r.size, r.weight, r.doc) for r in seen["mix_sources"]} == {("own", 7, None, "d")}
+    else:
+        assert not any(seen.values())
+
+
+def test_keep_one_keeps_columns_of_any_name(spark, tmp_path):
+    from outcomelens.llm import simhash_ball
+
+    rows = [(1, ENGLISH, "mine0", 5, "x"), (2, ENGLISH, "mine1", 6, "y"), (3, FRENCH, "mine2", 7, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, __row string, row int, gone string").write.parquet(str(tmp_path / "d"))
+    kept = simhash_ball.keep_one(spark.read.parquet(str(tmp_path / "d")))
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
