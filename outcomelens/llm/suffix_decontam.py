@@ -27,7 +27,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outcomelens.llm.common import packed, prepare, query, table, texts_of
@@ -196,16 +196,17 @@ def search(
     """
     spark = docs.sparkSession
     prepare(spark)
-    parts = list(blocks(benchmark, item_id, item_text, block_words, window))
+    parts = blocks(benchmark, item_id, item_text, block_words, window)
+    first, second = next(parts), next(parts, None)
     rows = packed(docs, carry, __text=text)
-    if len(parts) == 1:
+    if second is None:
         schema = f"{_column(rows, 'doc')}, n_words long, n_hit long, matches array<{_MATCH}>"
-        return rows.mapInArrow(_search(spark.sparkContext.broadcast(parts[0]), "__text", False), schema)
+        return rows.mapInArrow(_search(spark.sparkContext.broadcast(first), "__text", False), schema)
     # Further blocks: each pass adds its matches and hit words to the row of the document.
     out = rows.withColumns(
         {"n_words": F.lit(0).cast("long"), "all_hits": F.array().cast("array<int>"), "all": F.array().cast(f"array<{_MATCH}>")}
     )
-    for part in parts:
+    for part in itertools.chain((first, second), parts):
         text_beside = out.drop("n_words").withColumn("copy", F.col("__text"))
         done = text_beside.mapInArrow(
             _search(spark.sparkContext.broadcast(part), "__text", True),
@@ -219,7 +220,21 @@ def search(
             F.array_union("all_hits", "hits").alias("all_hits"),
             F.concat("all", "matches").alias("all"),
         )
-    return out.select("doc", "n_words", F.size("all_hits").cast("long").alias("n_hit"), F.col("all").alias("matches"))
+    return out.select("doc", "n_words", F.size("all_hits").cast("long").alias("n_hit"), _one_per_item("all").alias("matches"))
+
+
+def _one_per_item(matches: str) -> Column:
+    """The longest match per item, the first of equally long ones; rows of one item may be in several blocks."""
+    items = F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["item_id"])))
+
+    def longest(item: Column) -> Column:
+        own = F.filter(matches, lambda m: m["item_id"] == item)
+        ranked = F.transform(
+            own, lambda m: F.struct(m["words"].alias("a"), (-m["doc_start"]).alias("b"), (-m["item_start"]).alias("c"), m.alias("match"))
+        )
+        return F.array_max(ranked)["match"]
+
+    return F.transform(items, longest)
 
 
 def _column(df: DataFrame, name: str) -> str:
