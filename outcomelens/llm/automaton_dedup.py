@@ -6,23 +6,26 @@ that can match it meet.
 
 1. Each run of ``window`` words has an anchor: the word group of ``GROUP`` words in it whose hash is least. Equal
    runs have equal anchors, and neighbouring runs mostly share one, so about a fifth of the words are anchors.
-2. An anchor seen in one document only leads nowhere. For the others the smallest document that holds it (its
-   home) and its place there name a reference shard: ``SLICE`` words of the home.
-3. A document's words around its anchors of one shard form passages. Passages of equal content become one before
-   they meet, so copies cost nothing and a hot shard holds different texts only.
-4. A shard takes its passages in ascending order of document. Each is first streamed through the automaton of the
+2. An anchor seen in one document only leads nowhere. Runs whose anchor stands in several documents are candidates;
+   neighbouring candidates form segments, cut anew at about every fourth anchor (by its hash, so equal text is cut at equal
+   places). Segments of equal content become one, so copies and shared passages cost nothing from here on.
+3. Of each different candidate run the smallest document that holds it (its home) and its place there name a reference
+   shard: ``SLICE`` runs of the home. A run seen in one document only leads nowhere.
+4. Neighbouring runs of a segment that belong to one shard form a passage, of at most ``SLICE`` runs. Passages of equal
+   content become one again before they meet.
+5. A shard takes its passages in ascending order of document. Each is first streamed through the automaton of the
    smaller documents, for the longest match that ends at every word (matching statistics), and then added to it.
    Matches of at least ``window`` words are maximal repeated spans. A later document with the same passage
    repeats all of it.
-5. A frequent line that stands in different surroundings fills its shard with different passages. A shard whose
-   different passages hold more than ``SHARD_WORDS`` words gets no automaton. Each run of ``window`` words in it goes
-   its own way by a hash of all its words, and meets equal runs only, as one sum per run. So no task holds such
-   a shard, and a shard with an automaton has a bounded size.
-6. Spans go back to the documents and their words are removed. Matches are judged on the input.
+6. Spans go back to the segments, the documents, and their words are removed. Matches are judged on the input.
 
-The hot steps are plain joins on stored tables, whose large keys Spark splits, and sums before a shuffle. A run that
-repeats is in the same shard as all its occurrences, so nothing is missed. The automaton compares words; equal
-passages, and equal runs of spread shards, are known by digests of 128 bits.
+All of this is done alike for every shard. A frequent line that stands in different surroundings makes candidates of the runs around
+it, but these differ and end in step 3. What meets in a shard are pieces of ``SLICE`` runs of one home, so its different
+passages are few, however many documents hold them, and no task holds a group that grows with the corpus.
+
+Hashes only decide where rows meet: the automaton compares words, so two runs of equal hash share a shard and do
+not match. Equal segments and passages are known by digest and content. The hot steps are plain joins on stored tables,
+whose large keys Spark splits, and sums before a shuffle.
 
 Defined results
     Null and blank texts: no words. Texts shorter than the window: unchanged. Documents without an id come after all
@@ -43,126 +46,190 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outcomelens.llm.common import WORD, prepare, query, table, texts_of
-from outcomelens.session import materialise
+from outcomelens.session import materialise, scratch_path
 
 WINDOW = 13
 GROUP = 6
 SLICE = 64
-#: A shard of more words in different passages is spread by runs of ``window`` words.
-SHARD_WORDS = 1 << 14
+#: A segment begins at one in so many anchors.
+CUT = 4
+#: Word hashes that a worker keeps.
+_HASHES_KEPT = 500_000
 _LAST = 2**63 - 1
 _BASE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-_WRAP = 1 << 64
 
 # ---- anchors ---------------------------------------------------------------------------
 
-_WORD_HASHES: dict[bytes, int] = {}
 
+class _Hashes(dict):
+    """Hashes of the words met; long words are not kept."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        h = xxhash.xxh64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = h
+        return h
 
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    import xxhash
 
-    if len(_WORD_HASHES) > 500_000:
-        _WORD_HASHES.clear()
-    known, out = _WORD_HASHES, []
-    for w in words:
-        h = known.get(w)
-        if h is None:
-            h = xxhash.xxh64_intdigest(w)
-            if len(w) <= 64:
-                known[w] = h
-        out.append(h)
-    return np.array(out, np.uint64)
+_HASHES = _Hashes()
+
+
+def rolled(words: list[bytes], size: int) -> np.ndarray:
+    """Hash of every group of ``size`` neighbouring words."""
+    if len(_HASHES) > _HASHES_KEPT:
+        _HASHES.clear()
+    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    out = np.zeros(max(0, len(h) - size + 1), np.uint64)
+    for j in range(size):
+        out = out * np.uint64(_BASE) + h[j : j + len(out)]
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(_MIX)
+    out ^= out >> np.uint64(32)
+    return out
 
 
-def anchors(words: list[bytes], window: int, group: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the word groups that are least in some run of ``window`` words."""
+def anchors(texts: list[list[bytes]], window: int, group: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of the runs of ``window`` words in every text.
+
+    Returns the text, the hash of the anchor, the first run that has it and how many neighbours have it too.
+    """
+    sizes = np.array([len(t) for t in texts], np.int64)
+    words = [w for t in texts for w in t]
     if len(words) < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = _word_hashes(words)
-    rolled = np.zeros(len(h) - group + 1, np.uint64)
-    for j in range(group):
-        rolled = rolled * np.uint64(_BASE) + h[j : j + len(rolled)]
-    rolled ^= rolled >> np.uint64(32)
-    rolled *= np.uint64(_MIX)
-    rolled ^= rolled >> np.uint64(32)
-    runs = np.lib.stride_tricks.sliding_window_view(rolled, window - group + 1)
-    place = np.unique(runs.argmin(1) + np.arange(len(runs)))
-    return place, rolled[place]
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    of = np.repeat(np.arange(len(texts)), sizes)
+    key = rolled(words, group)
+    runs = np.lib.stride_tricks.sliding_window_view(key, window - group + 1)
+    least = runs.argmin(1) + np.arange(len(runs))
+    inside = of[: len(runs)] == of[window - 1 :]
+    # The place of the leftmost least group never moves back, so the runs of one anchor are neighbours.
+    head = np.ones(len(runs), bool)
+    head[1:] = (least[1:] != least[:-1]) | (inside[1:] != inside[:-1]) | (of[1 : len(runs)] != of[: len(runs) - 1])
+    first = np.flatnonzero(head)
+    count = np.diff(np.append(first, len(runs)))
+    first, count = first[inside[first]], count[inside[first]]
+    starts = np.cumsum(sizes) - sizes
+    return of[first], key[least[first]], first - starts[of[first]], count
 
 
 def _emit_anchors(window: int, group: int):
+    """One row per anchor and place; ``runs`` holds the first run, whether a segment begins there, and their number."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, places, counts = [], [], []
-            for text in texts_of(batch.column("text")):
-                place, key = anchors(text.split(), window, group)
-                key, first = np.unique(key, return_index=True)
-                keys.append(key)
-                places.append(place[first])
-                counts.append(len(key))
-            repeat = np.repeat(np.arange(len(counts)), counts)
-            rows = batch.column("row").to_numpy()[repeat]
-            docs = batch.column("doc").to_numpy()[repeat]
+            of, key, first, count = anchors([t.split() for t in texts_of(batch.column("text"))], window, group)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(rows),
-                    pa.array(docs),
-                    pa.array((np.concatenate(keys) if keys else np.zeros(0, np.uint64)).view(np.int64)),
-                    pa.array((np.concatenate(places) if places else np.zeros(0)).astype(np.int32)),
+                    pa.array(batch.column("row").to_numpy()[of]),
+                    pa.array(key.view(np.int64)),
+                    pa.array((first * 2 + (key % np.uint64(CUT) == 0)) * _RUNS + count, pa.int64()),
                 ],
-                ["row", "doc", "anchor", "place"],
+                ["row", "anchor", "runs"],
             )
 
     return run
 
 
-# ---- passages --------------------------------------------------------------------------
+#: More than the runs that can share an anchor.
+_RUNS = 1 << 8
+
+# ---- segments and passages -------------------------------------------------------------
+
+
+def _table_of(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[] for _ in kinds]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names)
 
 
-def _cut(window: int, group: int):
-    """Passages of each document: unions of what surrounds its anchors of one shard."""
+def _digest(content: bytes) -> bytes:
+    return hashlib.blake2b(content, digest_size=16).digest()
+
+
+def _segments(window: int):
+    """Stretches of each document whose runs are all candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            wanted = batch.column("shards").to_pylist()
-            for row, doc, text, shards in zip(
-                batch.column("row").to_pylist(), batch.column("doc").to_pylist(), texts_of(batch.column("text")), wanted
+            lists = batch.column("candidates").to_pylist()
+            for row, doc, text, packed_runs in zip(
+                batch.column("row").to_pylist(), batch.column("doc").to_pylist(), texts_of(batch.column("text")), lists
             ):
                 words = text.split()
-                shard_of = {s["anchor"]: (s["home"], s["slice"]) for s in shards}
-                place, key = anchors(words, window, group)
-                open_spans: dict[tuple[int, int], list[int]] = {}
-                done: list[tuple[tuple[int, int], int, int]] = []
-                for p, k in zip(place.tolist(), key.view(np.int64).tolist()):
-                    shard = shard_of.get(k)
-                    if shard is None:
+                low = high = -1
+                for packed_run in [*sorted(packed_runs), None]:
+                    head, count = divmod(packed_run, _RUNS) if packed_run is not None else (-1, 0)
+                    first, begins = head >> 1, head & 1
+                    if first == high and not begins:
+                        high = first + count
                         continue
-                    low, high = max(0, p - window + group), min(len(words), p + window)
-                    span = open_spans.get(shard)
-                    if span and low <= span[1]:
-                        span[1] = high
-                    else:
-                        if span:
-                            done.append((shard, *span))
-                        open_spans[shard] = [low, high]
-                done += [(shard, *span) for shard, span in open_spans.items()]
-                for shard, low, high in done:
-                    if high - low >= window:
-                        content = b" ".join(words[low:high])
-                        digest = hashlib.blake2b(content, digest_size=16).digest()
-                        out.append((row, doc, *shard, low, high - low, digest, content))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-            names = ["row", "doc", "home", "slice", "start", "n", "digest", "content"]
-            columns = zip(*out) if out else [[] for _ in kinds]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names)
+                    if high > low:
+                        content = b" ".join(words[low : high + window - 1])
+                        out.append((row, doc, low, high - low + window - 1, _digest(content), content))
+                    low, high = first, first + count
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            yield _table_of(out, ["row", "doc", "start", "n", "digest", "content"], kinds)
 
     return run
 
 
-_MATCHED = "home long, slice int, digest binary, first_doc long, spans array<array<int>>"
-_PASSAGE = "row long, doc long, home long, slice int, start int, n int, digest binary, content binary"
+def _windows(window: int):
+    """Hash and place of every run of ``window`` words in each different segment."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("n").to_numpy().astype(np.int64)
+            words = b" ".join(batch.column("content").to_pylist()).split(b" ")
+            key = rolled(words, window)
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            at = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            inside = np.flatnonzero(at + window <= sizes[of])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(batch.column("segment").to_numpy()[of[inside]]),
+                    pa.array(batch.column("first_doc").to_numpy()[of[inside]]),
+                    pa.array(key[inside].view(np.int64)),
+                    pa.array(at[inside], pa.int32()),
+                ],
+                ["segment", "doc", "key", "at"],
+            )
+
+    return run
+
+
+def _cut(window: int, most_runs: int):
+    """Passages of each segment: neighbouring runs of one shard, at most ``most_runs`` of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            lists = batch.column("known").to_pylist()
+            for segment, doc, content, known in zip(
+                batch.column("segment").to_pylist(), batch.column("first_doc").to_pylist(), batch.column("content").to_pylist(), lists
+            ):
+                words = content.split(b" ")
+                known.sort(key=lambda k: k["at"])
+                i = 0
+                while i < len(known):
+                    low, shard = known[i]["at"], known[i]["shard"]
+                    j = i + 1
+                    while j < len(known) and j - i < most_runs and known[j]["at"] == low + j - i and known[j]["shard"] == shard:
+                        j += 1
+                    n = j - i + window - 1
+                    passage = b" ".join(words[low : low + n])
+                    out.append((segment, doc, shard, low, n, _digest(passage), passage))
+                    i = j
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            yield _table_of(out, ["segment", "doc", "shard", "start", "n", "digest", "content"], kinds)
+
+    return run
+
+
+_SEGMENT = "row long, doc long, start int, n int, digest binary, content binary"
+_PASSAGE = "segment long, doc long, shard long, start int, n int, digest binary, content binary"
+_MATCHED = "shard long, digest binary, first_doc long, spans array<array<int>>"
 
 
 # ---- automata --------------------------------------------------------------------------
@@ -238,92 +305,28 @@ def _match(window: int):
             yield from batch.to_pylist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.list_(pa.list_(pa.int32()))
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), span]
-        names = ["home", "slice", "digest", "first_doc", "spans"]
+        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.list_(pa.int32()))]
+        names = ["shard", "digest", "first_doc", "spans"]
         out: list[tuple] = []
-        for (home, part), passages in groupby(rows(batches), key=lambda r: (r["home"], r["slice"])):
+        for shard, passages in groupby(rows(batches), key=lambda r: r["shard"]):
             automaton = Automaton()
             for doc, same in groupby(passages, key=lambda r: r["first_doc"]):
                 added = []
                 for r in same:
                     words = r["content"].split(b" ")
-                    out.append((home, part, r["digest"], doc, automaton.repeated(words, window)))
+                    out.append((shard, r["digest"], doc, automaton.repeated(words, window)))
                     added.append(words)
                 for words in added:
                     automaton.add(words)
                 if len(out) >= 2_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), kinds)], names)
+                    yield _table_of(out, names, kinds)
                     out = []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), kinds)], names)
-
-    return run
-
-
-# ---- spread shards ---------------------------------------------------------------------
-
-
-def _runs(window: int):
-    """The different runs of ``window`` words of each passage, and where they start."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple] = []
-            for passage, doc, content in zip(*(batch.column(c).to_pylist() for c in ("passage", "first_doc", "content"))):
-                starts = [0]
-                for word in content.split(b" "):
-                    starts.append(starts[-1] + len(word) + 1)
-                places: dict[bytes, list[int]] = {}
-                for i in range(len(starts) - window):
-                    digest = hashlib.blake2b(content[starts[i] : starts[i + window] - 1], digest_size=16).digest()
-                    places.setdefault(digest, []).append(i)
-                out += [(passage, doc, digest, at) for digest, at in places.items()]
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32())]
-            columns = zip(*out) if out else [[] for _ in kinds]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], ["passage", "first_doc", "run", "places"])
+            yield _table_of(out, names, kinds)
 
     return run
 
 
-def _unite(window: int):
-    """Spans [from, to) of the runs that start at ``places``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for places in batch.column("places").to_pylist():
-                spans: list[list[int]] = []
-                for p in sorted(places or []):
-                    if spans and p <= spans[-1][1]:
-                        spans[-1][1] = p + window
-                    else:
-                        spans.append([p, p + window])
-                out.append(spans)
-            kept = ["home", "slice", "digest", "first_doc"]
-            spans = pa.array(out, pa.list_(pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), spans], [*kept, "spans"])
-
-    return run
-
-
-def _spread(different: DataFrame, window: int) -> DataFrame:
-    """What :func:`_match` gives, for the passages of spread shards."""
-    passages = materialise(different.withColumn("passage", F.monotonically_increasing_id()), "spread_passages")
-    runs = passages.select("passage", "first_doc", "content").mapInArrow(
-        _runs(window), "passage long, first_doc long, run binary, places array<int>"
-    )
-    first = runs.groupBy("run").agg(F.min("first_doc").alias("least"), F.max("first_doc").alias("most"))
-    repeats = materialise(first.filter(F.col("least") < F.col("most")).select(F.col("run").alias("known"), "least"), "repeated_runs")
-    hits = (
-        runs.join(repeats, (F.col("run") == F.col("known")) & (F.col("least") < F.col("first_doc")))
-        .groupBy(F.col("passage").alias("of"))
-        .agg(F.flatten(F.collect_list("places")).alias("places"))
-    )
-    joined = passages.join(hits, F.col("passage") == F.col("of"), "left").select("home", "slice", "digest", "first_doc", "places")
-    return materialise(joined.mapInArrow(_unite(window), _MATCHED), "spread")
-
-
 # ---- the operator ----------------------------------------------------------------------
 
 
@@ -343,80 +346,100 @@ def _tidy(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def repeated_spans(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, group: int = GROUP, shard_words: int = SHARD_WORDS
-) -> DataFrame:
-    """Stored rows (row, spans): per document with repeats, spans [from, to) in words, in order and disjoint."""
-    spark = docs.sparkSession
-    prepare(spark)
-    rows = _rows(docs, doc_id, text)
-    found = materialise(rows.mapInArrow(_emit_anchors(window, group), "row long, doc long, anchor long, place int"), "anchors")
-    homes = found.groupBy("anchor").agg(F.min("doc").alias("home"), F.max("doc").alias("most"), F.min_by("place", "doc").alias("at"))
-    homes = materialise(
-        homes.filter(F.col("home") < F.col("most")).select(
-            F.col("anchor").alias("known"), "home", F.floor(F.col("at") / SLICE).cast("int").alias("slice")
-        ),
-        "homes",
-    )
-    _tidy(spark)
-    shards = (
-        found.select("row", "anchor")
-        .join(homes, F.col("anchor") == F.col("known"))
-        .groupBy("row")
-        .agg(F.collect_list(F.struct("anchor", "home", "slice")).alias("shards"))
-        .withColumnRenamed("row", "of")
-    )
-    shards = materialise(shards, "shards")
-    _tidy(spark)
-    meeting = rows.join(shards, F.col("row") == F.col("of")).select("row", "doc", "text", "shards")
-    passages = materialise(meeting.mapInArrow(_cut(window, group), _PASSAGE), "passages")
-    _tidy(spark)
-    sizes = passages.select("home", "slice", "digest", "n").distinct().groupBy("home", "slice").agg(F.sum("n").alias("held"))
-    large = sizes.filter(F.col("held") > shard_words).select(F.col("home").alias("large_home"), F.col("slice").alias("large_slice"))
-    large = materialise(large, "large_shards")
-    _tidy(spark)
-    is_large = (F.col("home") == F.col("large_home")) & (F.col("slice") == F.col("large_slice"))
-
-    def different(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("home", "slice", "digest", "content").agg(F.min("doc").alias("first_doc"))
-
-    routed = different(passages.join(large, is_large, "left_anti")).repartition("home", "slice")
-    routed = routed.sortWithinPartitions("home", "slice", "first_doc")
-    matched = materialise(routed.mapInArrow(_match(window), _MATCHED), "matched")
-    _tidy(spark)
-    if not large.isEmpty():
-        matched = matched.unionByName(_spread(different(passages.join(large, is_large, "left_semi")), window))
-        _tidy(spark)
-    keys = ["home", "slice", "digest"]
-    whole = F.array(F.array(F.lit(0), F.col("n")))
-    own = F.when(F.col("doc") == F.col("first_doc"), F.col("spans")).otherwise(whole)
-    spans = (
-        passages.select("row", "doc", *keys, "start", "n")
-        .join(matched.withColumnsRenamed({k: f"of_{k}" for k in keys}), [F.col(k) == F.col(f"of_{k}") for k in keys])
-        .select("row", "start", F.explode(own).alias("s"))
-        .groupBy("row")
-        .agg(F.array_sort(F.collect_set(F.struct((F.col("start") + F.col("s")[0]).alias("from"), (F.col("start") + F.col("s")[1]).alias("to")))).alias("parts"))
-    )
-    # Neighbouring and overlapping spans of different shards become one.
+def _drop(spark, path: str) -> None:
+    """Delete a scratch table of this module."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _united(df: DataFrame, key: str, start: str, spans) -> DataFrame:
+    """Rows (key, spans): spans [from, to) moved by ``start``, in order and disjoint."""
+    moved = F.struct((F.col(start) + F.col("s")[0]).alias("from"), (F.col(start) + F.col("s")[1]).alias("to"))
+    parts = df.select(key, start, F.explode(spans).alias("s")).groupBy(key).agg(F.array_sort(F.collect_set(moved)).alias("parts"))
+    # Neighbouring and overlapping spans become one.
+    last = lambda done: F.try_element_at(done, F.lit(-1))
     merged = F.aggregate(
         "parts",
         F.array().cast("array<struct<from:int,to:int>>"),
         lambda done, s: F.when(
-            (F.size(done) > 0) & (s["from"] <= F.try_element_at(done, F.lit(-1))["to"]),
+            (F.size(done) > 0) & (s["from"] <= last(done)["to"]),
             F.concat(
                 F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))),
-                F.array(
-                    F.struct(
-                        F.try_element_at(done, F.lit(-1))["from"].alias("from"),
-                        F.greatest(F.try_element_at(done, F.lit(-1))["to"], s["to"]).alias("to"),
-                    )
-                ),
+                F.array(F.struct(last(done)["from"].alias("from"), F.greatest(last(done)["to"], s["to"]).alias("to"))),
             ),
         ).otherwise(F.concat(done, F.array(s))),
     )
-    out = materialise(spans.select("row", merged.alias("spans")), "spans")
-    _tidy(spark)
-    return out
+    return parts.select(key, merged.alias("spans"))
+
+
+def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, group: int = GROUP) -> DataFrame:
+    """Stored rows (row, spans): per document with repeats, spans [from, to) in words, in order and disjoint."""
+    spark = docs.sparkSession
+    prepare(spark)
+
+    paths: dict[str, str] = {}
+
+    def stored(df: DataFrame, name: str, *done: str) -> DataFrame:
+        """Store a step; the tables of the steps in ``done`` are read by nothing after it."""
+        paths[name] = scratch_path(spark, name)
+        out = materialise(df, name, paths[name])
+        for old in done:
+            _drop(spark, paths.pop(old))
+        _tidy(spark)
+        return out
+
+    rows = _rows(docs, doc_id, text)
+    found = rows.select("row", "text").mapInArrow(_emit_anchors(window, group), "row long, anchor long, runs long")
+    found = stored(found, "anchors")
+    several = F.col("least") < F.col("most")
+    shared = found.groupBy("anchor").agg(F.min("row").alias("least"), F.max("row").alias("most")).filter(several)
+    shared = stored(shared.select(F.col("anchor").alias("known")), "shared_anchors")
+    candidates = (
+        found.select("row", "anchor", "runs")
+        .join(shared, F.col("anchor") == F.col("known"))
+        .groupBy(F.col("row").alias("of"))
+        .agg(F.collect_list("runs").alias("candidates"))
+    )
+    candidates = stored(candidates, "candidates", "anchors", "shared_anchors")
+    meeting = rows.join(candidates, F.col("row") == F.col("of")).select("row", "doc", "text", "candidates")
+    segments = stored(meeting.mapInArrow(_segments(window), _SEGMENT), "segments", "candidates")
+
+    unlike = segments.groupBy("digest", "content", "n").agg(F.min("doc").alias("first_doc"))
+    unlike = stored(unlike.withColumn("segment", F.monotonically_increasing_id()), "different_segments")
+    runs = unlike.select("segment", "first_doc", "content", "n").mapInArrow(_windows(window), "segment long, doc long, key long, at int")
+    runs = stored(runs, "runs")
+    shard = F.xxhash64("segment", F.floor(F.col("at") / SLICE))
+    homes = runs.withColumn("shard", shard).groupBy("key")
+    homes = homes.agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.min_by("shard", "doc").alias("shard")).filter(several)
+    homes = stored(homes.select(F.col("key").alias("home"), "shard"), "homes")
+    known = (
+        runs.select("segment", "key", "at")
+        .join(homes, F.col("key") == F.col("home"))
+        .groupBy(F.col("segment").alias("of"))
+        .agg(F.collect_list(F.struct("at", "shard")).alias("known"))
+    )
+    cut = unlike.join(known, F.col("segment") == F.col("of")).select("segment", "first_doc", "content", "known")
+    passages = stored(cut.mapInArrow(_cut(window, SLICE), _PASSAGE), "passages", "runs", "homes")
+
+    routed = passages.groupBy("shard", "digest", "content").agg(F.min("doc").alias("first_doc")).repartition("shard")
+    matched = stored(routed.sortWithinPartitions("shard", "first_doc").mapInArrow(_match(window), _MATCHED), "matched")
+
+    def own(kind: str) -> object:
+        """What the document itself repeats; a later one with the same content repeats all of it."""
+        return F.when(F.col("doc") == F.col("first_doc"), F.col("spans")).otherwise(F.array(F.expr(f"{kind}")))
+
+    both = (F.col("shard") == F.col("of_shard")) & (F.col("digest") == F.col("of_digest"))
+    found_in = passages.select("segment", "doc", "shard", "start", "n", "digest").join(
+        matched.withColumnsRenamed({"shard": "of_shard", "digest": "of_digest"}), both
+    )
+    by_segment = _united(found_in, "segment", "start", own("array(0, n)")).withColumnRenamed("segment", "of")
+    judged = unlike.select("segment", F.col("digest").alias("of_digest"), "first_doc").join(by_segment, F.col("segment") == F.col("of"), "left")
+    by_row = segments.select("row", "doc", "start", "n", "digest").join(
+        judged.select("of_digest", "first_doc", "spans"), F.col("digest") == F.col("of_digest")
+    )
+    whole = own("named_struct('from', 0, 'to', n)")
+    spans = F.transform(F.coalesce(whole, F.expr("cast(array() as array<struct<from:int,to:int>>)")), lambda s: F.array(s["from"], s["to"]))
+    return stored(_united(by_row, "row", "start", spans), "spans")
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

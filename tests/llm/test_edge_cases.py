@@ -251,12 +251,25 @@ def test_frequent_line_fills_no_shard(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "d")
     spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string").write.parquet(path)
     stored, store = {}, automaton_dedup.materialise
-    monkeypatch.setattr(automaton_dedup, "materialise", lambda df, name: stored.setdefault(name, store(df, name)))
-    got = {r.doc.doc_id: r for r in automaton_dedup.remove_repeats(spark.read.parquet(path), shard_words=512).collect()}
+    monkeypatch.setattr(automaton_dedup, "materialise", lambda df, name, *path: stored.setdefault(name, store(df, name, *path)))
+    got = {r.doc.doc_id: r for r in automaton_dedup.remove_repeats(spark.read.parquet(path)).collect()}
     for i, words in enumerate(texts):
         assert (got[i].n_removed, got[i].kept_text) == (len(runs[i]), " ".join(w for k, w in enumerate(words) if k not in runs[i]))
-    # Passages of at least 13 words: at most 39 in a shard of 512 words.
-    assert stored["matched"].groupBy("home", "slice").count().agg({"count": "max"}).first()[0] <= 39
+    # The line makes candidates of runs in most documents; surroundings of their own never reach a shard.
+    assert stored["segments"].count() >= 200
+    assert stored["matched"].groupBy("shard").count().agg({"count": "max"}).first()[0] <= 39
+
+
+def test_periodic_texts_fill_no_shard(spark, tmp_path, monkeypatch):
+    """One word repeated, in many lengths: passages are cut to pieces of few kinds, and the longest earlier text decides."""
+    path = str(tmp_path / "d")
+    lengths = [20, 150, 13, 12, 700, 90] + list(range(100, 400, 3))
+    spark.createDataFrame([(i, "x " * n) for i, n in enumerate(lengths)], "doc_id long, text string").write.parquet(path)
+    stored, store = {}, automaton_dedup.materialise
+    monkeypatch.setattr(automaton_dedup, "materialise", lambda df, name, *path: stored.setdefault(name, store(df, name, *path)))
+    got = {r.doc.doc_id: r.n_removed for r in automaton_dedup.remove_repeats(spark.read.parquet(path)).collect()}
+    assert got == {i: n if i and n >= 13 else 0 for i, n in enumerate(lengths)}
+    assert stored["matched"].groupBy("shard").count().agg({"count": "max"}).first()[0] <= automaton_dedup.SLICE
 
 
 # 10 ---------------------------------------------------------------------------------------
