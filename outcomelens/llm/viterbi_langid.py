@@ -6,13 +6,15 @@ learned with that script. Viterbi decoding over a document's words with a penalt
 language then labels spans. The document gets the language of most of its words; its score is the
 share of words in that language's spans, discounted by how clearly they beat the next language.
 
-Learning reads a bounded, deterministic sample of the labelled rows (``SAMPLE_DOCS`` documents per
-language, chosen by a hash of id and text). Counts are summed in Spark; the model has
-``BUCKETS`` numbers per language, whatever the corpus, and ``MOST_LANGUAGES`` bounds the languages.
+Learning reads a bounded, deterministic sample of the labelled rows: about ``SAMPLE_DOCS`` different texts per
+language, chosen by a hash of label and text. Copies of a text count once, in the sizes and in the sample. Counts
+are summed in Spark. Every label is learned; the model has ``BUCKETS`` numbers of 4 bytes per language (256 KB),
+whatever the corpus, and comes to the driver one language at a time. More labels than ``most_languages`` are an
+error, never dropped.
 
 Defined results
     ``und`` with score 0 if the text is null, empty or has no letter, or if no language was learned. A text with
-    letters always gets a learned language, the most frequent one if no evidence is left. Ties go to the language
+    letters always gets a learned language, that with most different texts if no evidence is left. Ties go to the language
     that sorts first. Rows are never joined or grouped, so null ids and repeated rows keep their rows. Extra columns pass
     through whatever their name.
 """
@@ -33,7 +35,8 @@ UNDETERMINED = "und"
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
 SAMPLE_DOCS = 1_000
-MOST_LANGUAGES = 400
+#: A model of so many languages has 256 MB.
+MOST_LANGUAGES = 1_000
 #: Share of a language's probability that is spread over all n-grams.
 UNSEEN = 0.05
 #: Cost of a change of language, in nats.
@@ -42,8 +45,9 @@ SWITCH = 12.0
 WORD_CAP = 8.0
 #: A script is used by a language if it makes up this share of its letters.
 SCRIPT_SHARE = 0.01
-#: Words whose scores a task keeps.
+#: Words whose scores a task keeps, and scores (one per word and language).
 CACHE_UNITS = 500_000
+CACHE_SCORES = 1 << 24
 LONGEST_CACHED = 64
 
 #: First and last code point of the scripts that narrow the candidates.
@@ -144,31 +148,43 @@ class LanguageModel:
         self.languages, self.logp, self.scripts, self.default = languages, logp, scripts, default
 
 
-def learn(docs: DataFrame, lang: str = "lang", text: str = "text", sample_docs: int = SAMPLE_DOCS) -> LanguageModel:
+def sample_of(rows: DataFrame, sizes: dict[str, int], sample_docs: int) -> DataFrame:
+    """About ``sample_docs`` different texts of each language; each comes once, however many rows hold it."""
+    share = F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, min(1.0, sample_docs / v))])
+    place = F.pmod(F.col("same"), F.lit(1 << 20)) / float(1 << 20)
+    return rows.filter(place < share[F.col("lang")]).dropDuplicates(["lang", "same"])
+
+
+def learn(
+    docs: DataFrame, lang: str = "lang", text: str = "text", sample_docs: int = SAMPLE_DOCS, most_languages: int = MOST_LANGUAGES
+) -> LanguageModel:
     """Fit from labelled rows; null labels and texts are not used."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
-    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # One short row per language; the sample is a hash range of about the wanted size.
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
+    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("same", F.xxhash64("lang", "text"))
+    # One short row per language: its different texts.
+    counted = rows.select("lang", "same").distinct().groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = {r["lang"]: r["n"] for r in counted.limit(most_languages + 1).collect()}
+    if len(sizes) > most_languages:
+        raise ValueError(f"more than {most_languages} languages in column {lang}; a model holds {BUCKETS * 4} bytes for each")
     if not sizes:
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPT_NAMES), 0), bool), 0)
     languages = sorted(sizes)
-    share = F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, min(1.0, sample_docs / v))])
-    place = F.pmod(F.xxhash64("lang", "text"), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.filter(place < share[F.col("lang")])
+    sample = sample_of(rows, sizes, sample_docs).select("lang", "text")
     summed = sample.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = np.zeros((BUCKETS, len(languages)))
+    packed_counts = summed.groupBy("lang").agg(F.collect_list(F.struct("gram", "n")).alias("counts"))
+    packed_counts = packed_counts.select("lang", F.col("counts.gram").alias("gram"), F.col("counts.n").alias("n"))
+    counts = np.zeros((BUCKETS, len(languages)), np.float32)
     scripts = np.zeros((len(SCRIPT_NAMES), len(languages)))
-    # At most BUCKETS rows per language.
-    got = summed.toPandas()
-    column = got["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy()
-    gram, n = got["gram"].to_numpy(), got["n"].to_numpy()
-    plain = gram >= 0
-    np.add.at(counts, (gram[plain], column[plain]), n[plain])
-    np.add.at(scripts, (-1 - gram[~plain], column[~plain]), n[~plain])
+    # At most BUCKETS numbers per language.
+    for row in packed_counts.toLocalIterator():
+        column = languages.index(row["lang"])
+        gram, n = np.array(row["gram"], np.int64), np.array(row["n"], np.float64)
+        plain = gram >= 0
+        counts[gram[plain], column] = n[plain]
+        scripts[-1 - gram[~plain], column] = n[~plain]
     # What was never seen is equally unlikely in every language, however much text each was learned from.
-    logp = np.log((1 - UNSEEN) * counts / np.maximum(counts.sum(0), 1) + UNSEEN / BUCKETS).astype(np.float32)
+    logp = np.log((1 - UNSEEN) * counts / np.maximum(counts.sum(0, dtype=np.float64), 1) + UNSEEN / BUCKETS).astype(np.float32)
     used = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(0), 1)
     return LanguageModel(languages, logp, used & (scripts > 0), int(np.argmax([sizes[x] for x in languages])))
 
@@ -211,7 +227,7 @@ class Labeller:
 
     def reset(self) -> None:
         self.place: dict[str, int] = {}
-        self.matrix = np.zeros((0, len(self.model.languages)), np.float32)
+        self.matrix, self.used = np.zeros((1_024, len(self.model.languages)), np.float32), 0
 
     def score(self, words: list[str]) -> np.ndarray:
         """Nats for each language, 0 for the best, at least ``-WORD_CAP``."""
@@ -227,8 +243,6 @@ class Labeller:
         return np.maximum(scores, -WORD_CAP).astype(np.float32)
 
     def _learn(self, units: set[str]) -> None:
-        if len(self.place) + len(units) > CACHE_UNITS:
-            self.reset()
         worded, words = [], []
         for unit in units:
             word = letters_of(unit)
@@ -238,13 +252,20 @@ class Labeller:
             else:
                 self.place[unit] = -1
         if words:
-            self.place.update(zip(worded, range(len(self.matrix), len(self.matrix) + len(words))))
-            self.matrix = np.concatenate((self.matrix, self.score(words)))
+            end = self.used + len(words)
+            if end > len(self.matrix):
+                grown = np.zeros((max(end, 2 * len(self.matrix)), self.matrix.shape[1]), np.float32)
+                grown[: self.used] = self.matrix[: self.used]
+                self.matrix = grown
+            self.place.update(zip(worded, range(self.used, end)))
+            self.matrix[self.used : end] = self.score(words)
+            self.used = end
 
     def label_all(self, texts: list[str | None]) -> list[tuple[str, float, list[dict]]]:
         cut = [t.split() if t and self.model.languages else [] for t in texts]
         new = set().union(*cut) - self.place.keys()
-        if len(self.place) + len(new) > CACHE_UNITS:
+        # Rows of the matrix count, also those of long units that are forgotten below.
+        if self.used and max(self.used, len(self.place)) + len(new) > min(CACHE_UNITS, CACHE_SCORES // len(self.model.languages)):
             self.reset()
             new = set().union(*cut)
         self._learn(new)
