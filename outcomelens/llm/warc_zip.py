@@ -11,19 +11,27 @@ payload). A task starts a new package after ``PACKAGE_BYTES``; only names that a
 in the manifest.
 
 Reading: the end of the file gives the central directory (ZIP64 records are followed where sizes or places need
-them), the directory gives members, the local header gives the first byte of a stored member. The index is
-read first; records are then fetched as ranges, neighbours in one request of at most ``RANGE_BYTES``. Nothing
-is extracted. Packages with several archives and indexes, or with none, are read too.
+them), the directory gives members, the local header gives the first byte of a stored member. Indexes are
+read first (CDXJ, or CDX with or without a list of its fields; plain or in gzip); records are then fetched as ranges, neighbours
+in one request of at most ``RANGE_BYTES``. Archives that no index names are walked from their first byte, record by
+record, by the same ranges. Nothing is extracted. Records of several indexes come once. Index lines of files outside
+the package lead nowhere. Of packages by other writers, records of kind warcinfo, request and metadata are not rows.
 
 Defined results
     Null html: empty payload. Null url: no target URI. Null page_id: written, read back as null, and last when the
     smallest id is chosen. Repeated rows: one of them is the response. Empty table: no package, no rows. Extra
     columns are not written. Control characters in URLs are percent-encoded. ``pages`` must give the same
-    rows in the same order when it is read twice (a stored table does).
+    rows in the same order when it is read twice (a stored table does). Reading records of other writers: ``page_id`` and
+    ``refers_to`` are null where the record id is not one of ours; ``payload_digest`` is the SHA-256 of the payload, and for
+    revisits the stated digest (with its algorithm, unless it is SHA-256) or null; ``payload_bytes`` of a revisit is null if
+    its header does not tell. A stated digest that a payload does not have ends the read with an error; digests by
+    algorithms not known here, and of bodies with a transfer encoding, are not compared. A compressed archive member is an error.
 """
 
 from __future__ import annotations
 
+import base64
+import gzip
 import hashlib
 import json
 import re
@@ -154,6 +162,9 @@ class ZipReader:
         member = self.members[name]
         if member["method"] != 0:
             raise ValueError(f"{name} is compressed; only stored members can be addressed")
+        return self._data(member)
+
+    def _data(self, member: dict) -> int:
         head = self.read(member["header"], 30)
         if int.from_bytes(head[:4], "little") != _LOCAL:
             raise ValueError("no local header")
@@ -161,6 +172,15 @@ class ZipReader:
         return member["header"] + 30 + n_name + n_extra
 
 
+    def content(self, name: str) -> bytes:
+        """A whole member, deflated or not; for indexes."""
+        member = self.members[name]
+        if member["method"] == 8:
+            raw = self.read(self._data(member), member["packed"])
+            return zlib.decompress(raw, -15)
+        return self.read(self.first_byte(name), member["size"])
+
+
 # ---- WARC ------------------------------------------------------------------------------
 
 
@@ -178,15 +198,35 @@ def record(kind: str, record_id: str, url: str | None, digest: str | None, block
     return packer.compress(b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
-def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
-    """Header fields (lower-case names) and block of one gzip member."""
-    data = zlib.decompressobj(31).decompress(raw)
-    head, _, rest = data.partition(b"\r\n\r\n")
-    version, *lines = head.decode().split("\r\n")
+def _fields(head: bytes) -> dict[str, str]:
+    version, *lines = head.decode("utf-8", "replace").split("\r\n")
     if not version.startswith("WARC/"):
         raise ValueError("no WARC record")
-    fields = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
-    return fields, rest[: int(fields["content-length"])]
+    return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+
+
+def parse_records(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields (lower-case names) and block of every record in a gzip member, or in plain bytes."""
+    data = zlib.decompressobj(31).decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
+    at = 0
+    while True:
+        end = data.find(b"\r\n\r\n", at)
+        if end < 0:
+            raise ValueError("no WARC record")
+        fields = _fields(data[at:end])
+        at = end + 4 + int(fields["content-length"])
+        if at > len(data):
+            raise ValueError("a WARC record ends too early")
+        yield fields, data[end + 4 : at]
+        while data[at : at + 1] in (b"\r", b"\n"):
+            at += 1
+        if at >= len(data):
+            return
+
+
+def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
+    """Header fields (lower-case names) and block of one gzip member."""
+    return next(parse_records(raw))
 
 
 def http_parts(block: bytes) -> tuple[dict[str, str], bytes]:
@@ -199,9 +239,10 @@ def _name(page_id: int | None, row: int) -> str:
     return f"urn:page:{'none' if page_id is None else page_id}:{row}"
 
 
-def _page(name: str) -> int | None:
-    page = name.strip("<>").split(":")[2]
-    return None if page == "none" else int(page)
+def _page(name: str | None) -> int | None:
+    """Page id in a record id of ours; null for any other."""
+    ours = re.fullmatch(r"<?urn:page:(-?\d+):\d+>?", name or "")
+    return int(ours[1]) if ours else None
 
 
 class _Package:
@@ -309,31 +350,142 @@ def write_archives(
     return materialise(written.mapInArrow(_write(folder, package_bytes), "folder string, path string, records long"), "packages")
 
 
+#: The letters of offset, length and file name in a CDX header, and the usual orders of fields.
+_OFFSET, _LENGTH, _FILE = "V", "S", "g"
+_CDX_ORDERS = {11: "N b a m s k r M S V g".split(), 10: "N b a m s k r M V g".split(), 9: "N b a m s k r V g".split()}
+
+
+def index_places(raw: bytes) -> Iterator[tuple[str, int, int | None]]:
+    """File name, offset and length (if told) of every line of a CDXJ or CDX index, plain or in gzip."""
+    order: list[str] | None = None
+    for line in (gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw).decode("utf-8", "replace").splitlines():
+        words = line.split()
+        if not words or line.startswith("!"):
+            continue
+        if words[0] == "CDX":
+            order = words[1:]
+        elif "{" in line:
+            place = json.loads(line[line.index("{") :])
+            yield place["filename"], int(place["offset"]), int(place["length"]) if place.get("length") is not None else None
+        else:
+            place = dict(zip(order or _CDX_ORDERS.get(len(words), ()), words))
+            if _FILE not in place or not place.get(_OFFSET, "").isdigit():
+                raise ValueError(f"no place of a record in the index line {line[:200]!r}")
+            yield place[_FILE], int(place[_OFFSET]), int(place[_LENGTH]) if place.get(_LENGTH, "").isdigit() else None
+
+
+def _walk(package: ZipReader, member: str, at: int = 0) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
+    """Place, length, fields and block of the records of an archive from ``at`` on, read by ranges."""
+    start, size = package.first_byte(member), package.members[member]["size"]
+    held, place = b"", at  # bytes before ``place`` that are not used yet
+
+    def more() -> bytes:
+        nonlocal place
+        if place >= size:
+            raise ValueError(f"{member} ends within a record")
+        chunk = package.read(start + place, min(RANGE_BYTES, size - place))
+        place += len(chunk)
+        return chunk
+
+    while place - len(held) < size:
+        first = place - len(held)
+        held = held or more()
+        if len(held) < 2 and place < size:
+            held += more()
+        if held[:2] == b"\x1f\x8b":
+            unpack, parts = zlib.decompressobj(31), []
+            while not unpack.eof:
+                parts.append(unpack.decompress(held or more()))
+                held = unpack.unused_data
+            raw = b"".join(parts)
+        else:
+            rest = held.lstrip(b"\r\n")
+            if not rest and place >= size:
+                return
+            first, held = place - len(rest), rest
+            while (end := held.find(b"\r\n\r\n")) < 0:
+                held += more()
+            n = end + 4 + int(_fields(held[:end])["content-length"])
+            parts, got = [held], len(held)
+            while got < n:
+                parts.append(more())
+                got += len(parts[-1])
+            whole = b"".join(parts)
+            raw, held = whole[:n], whole[n:]
+        for fields, block in parse_records(raw):
+            yield first, place - len(held) - first, fields, block
+
+
 def records_of(source, size: int) -> Iterator[tuple[str, int, int, dict[str, str], bytes]]:
-    """Archive member, place in the file, length, header fields and block of every indexed record."""
+    """Archive member, place in the file, length, header fields and block of every record."""
     package = ZipReader(source, size)
-    indexes = [n for n in package.members if n.startswith("indexes/") and n.endswith((".cdxj", ".cdx"))]
-    for index in indexes:
-        raw = package.read(package.first_byte(index), package.members[index]["size"])
-        places: dict[str, list[tuple[int, int]]] = {}
-        for line in raw.decode().splitlines():
-            place = json.loads(line[line.index("{") :])
-            places.setdefault(f"archive/{place['filename']}", []).append((int(place["offset"]), int(place["length"])))
-        for member, own in places.items():
+    places: dict[str, dict[int, int | None]] = {}
+    for index in package.members:
+        if re.fullmatch(r"indexes/.*\.cdxj?(\.gz)?", index):
+            for name, at, n in index_places(package.content(index)):
+                member = next((m for m in (f"archive/{name}", name) if m in package.members), None)
+                if member:
+                    own = places.setdefault(member, {})
+                    own[at] = own.get(at) or n
+    for member, found in places.items():
+        start = package.first_byte(member)
+        for at in sorted(a for a, n in found.items() if n is None):
+            _, n, fields, block = next(_walk(package, member, at))
+            yield member, start + at, n, fields, block
+        own = sorted((a, n) for a, n in found.items() if n is not None)
+        i = 0
+        while i < len(own):
+            j = i + 1
+            while j < len(own) and own[j][0] + own[j][1] - own[i][0] <= RANGE_BYTES:
+                j += 1
+            low, high = own[i][0], max(a + n for a, n in own[i:j])
+            chunk = package.read(start + low, high - low)
+            for a, n in own[i:j]:
+                fields, block = parse_record(chunk[a - low : a - low + n])
+                yield member, start + a, n, fields, block
+            i = j
+    for member in package.members:
+        if member not in places and re.search(r"\.warc(\.gz)?$", member):
             start = package.first_byte(member)
-            own.sort()
-            i = 0
-            while i < len(own):
-                j = i + 1
-                while j < len(own) and own[j][0] + own[j][1] - own[i][0] <= RANGE_BYTES:
-                    j += 1
-                low, high = own[i][0], max(a + n for a, n in own[i:j])
-                chunk = package.read(start + low, high - low)
-                for a, n in own[i:j]:
-                    fields, block = parse_record(chunk[a - low : a - low + n])
-                    yield member, start + a, n, fields, block
-                i = j
-
+            for at, n, fields, block in _walk(package, member):
+                yield member, start + at, n, fields, block
+
+
+#: Algorithms of stated digests that are compared.
+_ALGORITHMS = ("md5", "sha1", "sha256", "sha512")
+
+
+def _stated(digest: str | None) -> tuple[str, str] | None:
+    """Algorithm and lower-case hex of a stated digest (in hex or base 32); null if it is none of those known."""
+    algorithm, _, value = (digest or "").partition(":")
+    algorithm = algorithm.lower().replace("-", "")
+    if algorithm not in _ALGORITHMS:
+        return None
+    width = hashlib.new(algorithm).digest_size
+    if re.fullmatch(f"[0-9a-fA-F]{{{2 * width}}}", value):
+        return algorithm, value.lower()
+    try:
+        raw = base64.b32decode(value.upper() + "=" * (-len(value) % 8))
+    except ValueError:
+        return None
+    return (algorithm, raw.hex()) if len(raw) == width else None
+
+
+def payload_of(fields: dict[str, str], block: bytes) -> tuple[int | None, str | None, bytes | None]:
+    """Size, digest and bytes of a record's payload; a revisit has no bytes."""
+    kind, stated = fields["warc-type"], _stated(fields.get("warc-payload-digest"))
+    http, payload = http_parts(block) if "http" in fields.get("content-type", "application/http") else ({}, block)
+    if kind == "revisit":
+        told = http.get("content-length", "")
+        digest = stated[1] if stated and stated[0] == "sha256" else fields.get("warc-payload-digest")
+        return int(told) if told.isdigit() else None, digest, None
+    if stated and "transfer-encoding" not in http and hashlib.new(stated[0], payload).hexdigest() != stated[1]:
+        raise ValueError("a payload has another digest than its header")
+    return len(payload), hashlib.sha256(payload).hexdigest(), payload
+
+
+#: Kinds of records that are rows.
+_KINDS = ("response", "revisit", "resource", "conversion")
 
 _RECORD = (
     "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, "
@@ -356,17 +508,15 @@ def _read(keep_payload: bool):
                 held = 0
                 with store.open_input_file(row["path"]) as source:
                     for _, at, n, fields, block in records_of(source, source.size()):
-                        kind = fields["warc-type"]
-                        http, payload = http_parts(block)
-                        stated = fields["warc-payload-digest"].removeprefix("sha256:")
-                        refers = None
-                        if kind == "revisit":
-                            refers, size, digest, payload = _page(fields["warc-refers-to"]), int(http["content-length"]), stated, None
-                        else:
-                            size, digest = len(payload), hashlib.sha256(payload).hexdigest()
-                            if digest != stated:
-                                raise ValueError(f"{row['path']}: payload at {at} has another digest than its header")
-                        page = _page(fields["warc-record-id"])
+                        kind = fields.get("warc-type")
+                        if kind not in _KINDS:
+                            continue
+                        try:
+                            size, digest, payload = payload_of(fields, block)
+                        except ValueError as e:
+                            raise ValueError(f"{row['path']}, record at {at}: {e}") from e
+                        refers = _page(fields.get("warc-refers-to")) if kind == "revisit" else None
+                        page = _page(fields.get("warc-record-id"))
                         rows.append((page, fields.get("warc-target-uri"), kind, refers, size, digest, row["path"], at, n, payload if keep_payload else None))
                         held += len(payload or b"") if keep_payload else 0
                         if len(rows) >= 1_000 or held >= RANGE_BYTES:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import base64
+import gzip
+import hashlib
 import io
 import itertools
 import random
@@ -12,6 +15,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("outcomelens.llm.common")
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -71,6 +75,85 @@ def test_records_survive(tmp_path):
     assert fields["warc-target-uri"] == "http://a/%0Ab" and warc_zip.http_parts(block)[1] == b"\r\n\r\n"
 
 
+def foreign_record(kind, block, **fields):
+    """A record as other writers make it."""
+    head = {"WARC-Type": kind, "WARC-Record-ID": "<urn:uuid:0b8c>", "Content-Type": "application/http; msgtype=response"}
+    head |= {k.replace("_", "-"): v for k, v in fields.items()} | {"Content-Length": str(len(block))}
+    return b"WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+def foreign_archive(n=40):
+    """Places of the records, the archive's bytes in gzip members and plain, and the payloads."""
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    records, payloads = [foreign_record("warcinfo", b"software: x\r\n")], []
+    for i in range(n):
+        payload = f"page {i} ".encode() * (1 + 997 * (i % 5))
+        sha1 = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        stated = [{}, {"WARC_Payload_Digest": f"sha1:{sha1}"}, {"WARC_Payload_Digest": "blake9:00"}][i % 3]
+        records.append(foreign_record("response", http + payload, WARC_Target_URI=f"http://a/{i}", **stated))
+        payloads.append(payload)
+    records.append(foreign_record("revisit", http, WARC_Target_URI="http://a/again", WARC_Payload_Digest=f"sha1:{sha1}"))
+    packed = [gzip.compress(r) for r in records]
+    places, at = [], 0
+    for r in packed:
+        places.append((at, len(r)))
+        at += len(r)
+    return places, b"".join(packed), b"".join(records), payloads
+
+
+def foreign_indexes(places):
+    """Fields of index lines by the usual formats; the first record is no page."""
+    pages = list(enumerate(places))[1:]
+    cdxj = "".join(f'a,{i} 2024 {{"offset": "{o}", "length": "{n}", "filename": "x.warc.gz"}}\n' for i, (o, n) in pages).encode()
+    eleven = "".join(f"a,{i} 2024 http://a/{i} text/html 200 AAAA - - {n} {o} x.warc.gz\n" for i, (o, n) in pages).encode()
+    nine = "".join(f"a,{i} 2024 http://a/{i} text/html 200 AAAA - {o} x.warc.gz\n" for i, (o, n) in pages).encode()
+    return {
+        "cdxj": {"indexes/index.cdxj": cdxj},
+        "cdx_gz": {"indexes/index.cdx.gz": gzip.compress(cdxj[:999]) + gzip.compress(cdxj[999:]), "indexes/index.idx": b"a 2024 x 0 99\n"},
+        "cdx_11": {"indexes/all.cdx": b" CDX N b a m s k r M S V g\n" + eleven},
+        "cdx_11_no_header": {"indexes/all.cdx": eleven},
+        "cdx_9": {"indexes/all.cdx": nine},
+        "two": {"indexes/a.cdx": nine, "indexes/b.cdxj": cdxj},
+        "none": {},
+    }
+
+
+@pytest.mark.parametrize("kind", ["cdxj", "cdx_gz", "cdx_11", "cdx_11_no_header", "cdx_9", "two", "none", "plain"])
+def test_archives_of_other_writers_are_read(spark, tmp_path, monkeypatch, kind):
+    places, packed, plain_bytes, payloads = foreign_archive()
+    with zipfile.ZipFile(tmp_path / "p.zip", "w") as z:
+        z.writestr("archive/x.warc" if kind == "plain" else "archive/x.warc.gz", plain_bytes if kind == "plain" else packed)
+        for name, data in foreign_indexes(places).get(kind, {}).items():
+            z.writestr(name, data, zipfile.ZIP_DEFLATED if kind == "cdx_11" else zipfile.ZIP_STORED)
+    raw = (tmp_path / "p.zip").read_bytes()
+    monkeypatch.setattr(warc_zip, "RANGE_BYTES", 777)  # records lie across ranges
+    source = io.BytesIO(raw)
+    got = [(f.get("warc-target-uri"), *warc_zip.payload_of(f, b)) for _, _, _, f, b in warc_zip.records_of(source, len(raw)) if f["warc-type"] != "warcinfo"]
+    want = [(f"http://a/{i}", len(p), hashlib.sha256(p).hexdigest(), p) for i, p in enumerate(payloads)]
+    assert sorted(g for g in got if g[3] is not None) == sorted(want)
+    assert [g[:2] for g in got if g[3] is None] == [("http://a/again", None)]
+    manifest = spark.createDataFrame([(str(tmp_path), str(tmp_path / "p.zip"))], "folder string, path string")
+    rows = warc_zip.read_archives(manifest).collect()
+    assert sorted((r.url, r.payload_bytes, r.payload_digest, bytes(r.payload)) for r in rows if r.record_type == "response") == sorted(want)
+    assert len(rows) == len(want) + 1 and {r.page_id for r in rows} == {None} and {r.refers_to for r in rows} == {None}
+
+
+def test_wrong_digests_and_cut_archives_are_errors():
+    for stated in ("sha1:" + "0" * 40, "sha256:" + "0" * 64, "md5:" + "0" * 32):
+        raw = foreign_record("response", b"HTTP/1.1 200 OK\r\n\r\nx", WARC_Payload_Digest=stated)
+        with pytest.raises(ValueError, match="another digest"):
+            warc_zip.payload_of(*warc_zip.parse_record(raw))
+    _, packed, plain_bytes, _ = foreign_archive(3)
+    for name, data in (("archive/x.warc.gz", packed), ("archive/x.warc", plain_bytes)):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            z.writestr(name, data[:-40])
+        with pytest.raises(ValueError, match="ends"):
+            list(warc_zip.records_of(out, len(out.getvalue())))
+    with pytest.raises(ValueError, match="index line"):
+        list(warc_zip.index_places(b"one two three\n"))
+
+
 # 2 ----------------------------------------------------------------------------------------
 
 
@@ -241,6 +324,63 @@ def test_mixed_text_has_spans(spark, sf):
     assert abs(words["en"] - 100) < 12 and abs(words["de"] - 60) < 12
 
 
+def test_copies_do_not_crowd_out_a_language(spark, tmp_path):
+    """One text in 20,000 rows counts once; the other texts of its language are learned from."""
+    rng = random.Random(8)
+    rows = [("xx", "copied words of one text")] * 20_000
+    rows += [("xx", " ".join(rng.choices(["wir", "haben", "nicht", "gesehen", "dass"], k=20)) + f" n{i}") for i in range(129)]
+    rows += [("yy", " ".join(rng.choices(["we", "have", "never", "seen", "that"], k=20)) + f" n{i}") for i in range(129)]
+    rows += [(None, "no label"), ("yy", None)]
+    path = str(tmp_path / "d")
+    spark.createDataFrame(rows, "lang string, text string").repartition(7).write.parquet(path)
+    docs = spark.read.parquet(path)
+    counted = docs.dropna().withColumn("same", F.xxhash64("lang", "text"))
+    for wanted, least in ((1_000, 129), (60, 30)):
+        sample = viterbi_langid.sample_of(counted, {"xx": 130, "yy": 129}, wanted).groupBy("lang").count().collect()
+        assert all(least <= r["count"] <= 130 for r in sample) and len(sample) == 2
+    model = viterbi_langid.learn(docs)
+    assert [viterbi_langid.Labeller(model).label_all([t])[0][0] for t in ("wir haben nicht", "we have never")] == ["xx", "yy"]
+
+
+def test_language_counts_equal_plain_counts(spark, tmp_path):
+    """The model against counts made word by word."""
+    rows = [("a", "Über den Fluß, über!"), ("a", "über den"), ("b", "привет мир 42"), ("b", "hello")]
+    path = str(tmp_path / "d")
+    spark.createDataFrame(rows * 3, "lang string, text string").write.parquet(path)
+    model = viterbi_langid.learn(spark.read.parquet(path))
+    for j, lang in enumerate(("a", "b")):
+        counts, scripts = np.zeros(viterbi_langid.BUCKETS), Counter()
+        for text in (t for name, t in rows if name == lang):
+            for word in filter(None, map(viterbi_langid.letters_of, text.split())):
+                scripts[viterbi_langid.script_of(word)] += 1
+                for bucket, _ in viterbi_langid.grams_of([word]):
+                    np.add.at(counts, bucket, 1)
+        want = np.log((1 - viterbi_langid.UNSEEN) * counts / counts.sum() + viterbi_langid.UNSEEN / viterbi_langid.BUCKETS)
+        assert np.allclose(model.logp[:, j], want, atol=1e-5)
+        assert set(np.flatnonzero(model.scripts[:, j])) == set(scripts)
+
+
+def test_every_label_is_learned_or_an_error(spark, tmp_path):
+    path = str(tmp_path / "d")
+    spark.createDataFrame([(f"l{i:03}", f"word{chr(97 + i % 26)} {i}") for i in range(450)], "lang string, text string").coalesce(2).write.parquet(path)
+    docs = spark.read.parquet(path)
+    assert len(viterbi_langid.learn(docs).languages) == 450
+    with pytest.raises(ValueError, match="more than 449 languages"):
+        viterbi_langid.learn(docs, most_languages=449)
+
+
+def test_scores_kept_by_a_task_are_bounded(monkeypatch):
+    rng = np.random.default_rng(8)
+    model = viterbi_langid.LanguageModel(["a", "b"], rng.normal(size=(viterbi_langid.BUCKETS, 2)).astype(np.float32), np.ones((len(viterbi_langid.SCRIPT_NAMES), 2), bool), 0)
+    texts = [" ".join(f"w{chr(97 + rng.integers(26))}{chr(97 + rng.integers(26))}" + "x" * int(rng.integers(0, 90)) for _ in range(30)) for _ in range(200)]
+    want = [viterbi_langid.Labeller(model).label_all([t])[0] for t in texts]
+    monkeypatch.setattr(viterbi_langid, "CACHE_UNITS", 100)
+    labeller = viterbi_langid.Labeller(model)
+    for text, one in zip(texts, want):
+        assert labeller.label_all([text])[0] == one
+        assert labeller.used <= 100
+
+
 # 9 ----------------------------------------------------------------------------------------
 
 
