@@ -31,6 +31,7 @@ def load_all() -> None:
         compare_queries,
         error_queries,
         io_queries,
+        job_queries,
         metric_queries,
         model_queries,
         rate_queries,

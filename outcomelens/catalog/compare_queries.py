@@ -87,8 +87,8 @@ def area_metrics(spark, sf):
     )
 
 
-def combined(spark, sf):
-    """Three tables of three spellings, harmonised and stacked; B has no observed rate."""
+def combined_tables(spark, sf):
+    """Three tables of three spellings; B has no observed rate."""
     found = area_metrics(spark, sf)
     a = found.filter("model = 'A'").select(
         F.col("area").alias("Community Area"), "n_obs", "FP_rate", "FN_rate", "ArrestRate_true"
@@ -106,7 +106,12 @@ def combined(spark, sf):
         F.col("FN_rate").alias("fn pct"),
         F.col("ArrestRate_true").alias("true arrest rate"),
     )
-    return CP.stack_tables([G.harmonise_metrics(df, m) for m, df in (("A", a), ("B", b), ("C", c))])
+    return {"A": a, "B": b, "C": c}
+
+
+def combined(spark, sf):
+    """The three tables, harmonised and stacked."""
+    return CP.stack_tables([G.harmonise_metrics(df, m) for m, df in combined_tables(spark, sf).items()])
 
 
 _K = """, k AS (SELECT area AS community_area, fp / nullif(fp + tn, 0) AS "FP_rate",

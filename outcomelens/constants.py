@@ -107,3 +107,27 @@ ACCURACY_RANGE = (0.4, 0.9)
 ACCURACY_COLOURS = ((33, 113, 181), (215, 25, 28))
 ERROR_RAMP = ((0, 0, 255), (255, 0, 0))
 RATE_RAMP = ((255, 255, 178), (254, 204, 92), (253, 141, 60), (240, 59, 32), (189, 0, 38))
+
+# Names under which region files carry the district number, and the metrics shown per region key.
+DISTRICT_KEY_CANDIDATES = ("DIST_NUM", "dist_num", "district")
+GROUP_LAYERS = {
+    "District": ("ArrestRate_true", "AUC", "FP_rate", "FN_rate"),
+    "Community Area": ("ArrestRate_true", "FP_rate", "FN_rate"),
+}
+
+# Public colour ramps of the group layers, from the least to the greatest value (viridis at its quarters).
+LAYER_RAMPS = {
+    "ArrestRate_true": (
+        (255, 247, 236), (254, 232, 200), (253, 212, 158), (253, 187, 132), (252, 141, 89),
+        (239, 101, 72), (215, 48, 31), (179, 0, 0), (127, 0, 0),
+    ),
+    "AUC": ((68, 1, 84), (59, 82, 139), (33, 145, 140), (94, 201, 98), (253, 231, 37)),
+    "FP_rate": (
+        (252, 251, 253), (239, 237, 245), (218, 218, 235), (188, 189, 220), (158, 154, 200),
+        (128, 125, 186), (106, 81, 163), (84, 39, 143), (63, 0, 125),
+    ),
+    "FN_rate": (
+        (247, 251, 255), (222, 235, 247), (198, 219, 239), (158, 202, 225), (107, 174, 214),
+        (66, 146, 198), (33, 113, 181), (8, 81, 156), (8, 48, 107),
+    ),
+}

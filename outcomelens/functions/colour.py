@@ -54,3 +54,31 @@ def ramp_fill(value: Column, low: Column, high: Column, stops: Sequence[Rgb]) ->
         ]
         out = out.when(value <= edges[i], colour(mixed))
     return out
+
+
+def ramp_fill_from(value: Column, low: Column, high: Column, stops: Column) -> Column:
+    """:func:`ramp_fill` with the ramp in a column: an array of ``[r, g, b]`` from 0 to 1, two stops at least.
+
+    One expression whatever the number of ramps and stops, so that many ramps stay within one compiled method.
+    Where ``low`` equals ``high`` the first stop is taken.
+    """
+    last = F.size(stops) - 1
+
+    def edge(k: Column) -> Column:
+        return low + (high - low) * (k / last)
+
+    inner = F.filter(
+        F.transform(stops, lambda _, k: k), lambda k: (k > 0) & (k < last) & (value > edge(k))
+    )
+    i = F.size(inner)
+    p = F.coalesce(F.try_divide(value - edge(i), edge(i + 1) - edge(i)), F.lit(0.0))
+    p = F.least(F.lit(1.0), F.greatest(F.lit(0.0), p))
+    mixed = F.zip_with(
+        F.get(stops, i), F.get(stops, i + 1), lambda a, b: ((F.lit(1.0) - p) * a + p * b) * F.lit(255.9999)
+    )
+    channels = [F.get(mixed, c).cast("int") for c in range(3)]
+    return F.when(value.isNotNull(), F.format_string("#%02x%02x%02xff", *channels))
+
+
+def ramp_column(stops: Sequence[Rgb]) -> Column:
+    return F.array(*[F.array(*[F.lit(c / 255.0) for c in stop]) for stop in stops])

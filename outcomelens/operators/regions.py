@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from outcomelens.constants import (
     ERROR_RAMP,
+    LAYER_RAMPS,
     METRIC_ALIASES,
     MIN_SUPPORT,
     NO_DATA_COLOUR,
@@ -20,10 +21,10 @@ from outcomelens.constants import (
     REGION_KEY_CANDIDATES,
     REGION_KEY_RANGE,
 )
-from outcomelens.functions.colour import ramp_fill, two_colour_fill
+from outcomelens.functions.colour import ramp_column, ramp_fill, ramp_fill_from, two_colour_fill
 from outcomelens.functions.parsing import to_whole
 from outcomelens.operators.columns import normalize_names, quoted, select_aliased, tag_rows
-from outcomelens.operators.compare import first_per_key, metric_range
+from outcomelens.operators.compare import first_per_key, metric_range, stack_tables
 from outcomelens.session import materialise
 
 # Canonical spelling and type of the harmonised columns.
@@ -212,6 +213,42 @@ def observed_layer(
     return _styled(joined, ramp, min_support)
 
 
+def grouped_layers(
+    features: DataFrame,
+    tables: Mapping[str, DataFrame],
+    feature_key: str,
+    key: str,
+    metrics: Sequence[str],
+    model: str = "ModelType",
+) -> DataFrame:
+    """Features that have a value, once per model and metric, each layer on a scale and ramp of its own.
+
+    ``tables`` holds per-group metric tables by model, keyed by ``key``. Keys of both sides are read as whole
+    numbers; a feature or group whose key is blank, bad or unmatched is in no layer, nor is a missing value.
+    A scale ends at the least and the greatest value shown; where they are equal, the ramp's first colour is
+    taken. A metric that a model's table lacks has no layer for it. Features move once, and only
+    with the values: the scales come from keys and values alone.
+    """
+    long = []
+    for name, df in tables.items():
+        present = [m for m in metrics if m in df.columns]
+        if not present:
+            raise ValueError(f"none of the metrics {tuple(metrics)} in the table of {name}")
+        wide = df.select(to_whole(quoted(key)).alias("__key"), *[quoted(m).cast("double").alias(m) for m in present])
+        long.append(tag_rows(wide.unpivot(["__key"], present, "metric", "value"), model, name))
+    keyed = features.withColumn("__key", to_whole(quoted(feature_key)))
+    held = stack_tables(long).na.drop(subset=["__key", "value"])
+    held = materialise(held.join(keyed.select("__key"), "__key", "left_semi"), "layers")
+    ranges = held.groupBy(model, "metric").agg(F.min("value").alias("vmin"), F.max("value").alias("vmax"))
+    joined = keyed.join(held.join(ranges, [model, "metric"]), "__key").drop("__key")
+    ramp = ramp_column(RATE_RAMP)
+    for metric in metrics:
+        if metric in LAYER_RAMPS:
+            ramp = F.when(F.col("metric") == metric, ramp_column(LAYER_RAMPS[metric])).otherwise(ramp)
+    fill = ramp_fill_from(F.col("value"), F.col("vmin"), F.col("vmax"), ramp)
+    return joined.withColumn("fill", fill)
+
+
 def feature_columns(features: DataFrame, fields: Mapping[str, str]) -> DataFrame:
     """Feature properties as columns: output name to property name."""
     out = {name: property_column(features, prop) for name, prop in fields.items()}
