@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,25 +59,40 @@ def ramp_fill(value: Column, low: Column, high: Column, stops: Sequence[Rgb]) ->
 def ramp_fill_from(value: Column, low: Column, high: Column, stops: Column) -> Column:
     """:func:`ramp_fill` with the ramp in a column: an array of ``[r, g, b]`` from 0 to 1, two stops at least.
 
-    One expression whatever the number of ramps and stops, so that many ramps stay within one compiled method.
-    Where ``low`` equals ``high`` the first stop is taken.
+    One expression whatever the number of ramps and stops, so that many ramps stay small; the ramp, the place on it
+    and the mixed colour are each computed once a row. Where ``low`` equals ``high`` the first stop is taken.
     """
-    last = F.size(stops) - 1
+    fill = _bound(stops, lambda ramp: _mixed_on(ramp, value, low, high))
+    return F.when(value.isNotNull(), fill)
+
+
+def _bound(part: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a part that is computed once a row, however often the body names it."""
+    return F.get(F.transform(F.array(part), body), 0)
+
+
+def _mixed_on(ramp: Column, value: Column, low: Column, high: Column) -> Column:
+    last = F.size(ramp) - 1
 
     def edge(k: Column) -> Column:
         return low + (high - low) * (k / last)
 
+    def part(i: Column) -> Column:
+        p = F.coalesce(F.try_divide(value - edge(i), edge(i + 1) - edge(i)), F.lit(0.0))
+        return F.least(F.lit(1.0), F.greatest(F.lit(0.0), p))
+
+    def mixed(i: Column, p: Column) -> Column:
+        return F.zip_with(
+            F.get(ramp, i), F.get(ramp, i + 1), lambda a, b: ((F.lit(1.0) - p) * a + p * b) * F.lit(255.9999)
+        )
+
+    def text(rgb: Column) -> Column:
+        return F.format_string("#%02x%02x%02xff", *[F.get(rgb, c).cast("int") for c in range(3)])
+
     inner = F.filter(
-        F.transform(stops, lambda _, k: k), lambda k: (k > 0) & (k < last) & (value > edge(k))
-    )
-    i = F.size(inner)
-    p = F.coalesce(F.try_divide(value - edge(i), edge(i + 1) - edge(i)), F.lit(0.0))
-    p = F.least(F.lit(1.0), F.greatest(F.lit(0.0), p))
-    mixed = F.zip_with(
-        F.get(stops, i), F.get(stops, i + 1), lambda a, b: ((F.lit(1.0) - p) * a + p * b) * F.lit(255.9999)
+        F.transform(ramp, lambda _, k: k), lambda k: (k > 0) & (k < last) & (value > edge(k))
     )
-    channels = [F.get(mixed, c).cast("int") for c in range(3)]
-    return F.when(value.isNotNull(), F.format_string("#%02x%02x%02xff", *channels))
+    return _bound(F.size(inner), lambda i: _bound(part(i), lambda p: _bound(mixed(i, p), text)))
 
 
 def ramp_column(stops: Sequence[Rgb]) -> Column:

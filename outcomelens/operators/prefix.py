@@ -7,7 +7,8 @@ shared folder, because the steps below read it several times with different
 columns, and the source should be scanned once only.
 
 Its row count is then known. A table of at most ``SMALL_ROWS`` rows takes one
-window per group. A larger one is cut into :func:`bucket_count` value ranges of about equal
+window per group, and so do the groups of at most that many rows in a larger table. Larger
+groups are cut into :func:`bucket_count` value ranges of about equal
 size, whatever the distribution, from approximate percentiles of the merged rows.
 A prefix sum is the total of the lower ranges plus the running sum inside the
 row's own range, so no task sorts a whole group. The cut points only place the
@@ -17,6 +18,8 @@ cuts: any choice of them gives the same exact result.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -83,7 +86,29 @@ def prefix_sums(
     rows = merged.count()
     if rows <= small_rows:
         return _whole_groups(merged, value, measures, groups)
-    return _ranged_groups(merged, value, measures, groups, bucket_count(rows))
+    if not groups:
+        return _ranged_groups(merged, value, measures, groups, bucket_count(rows))
+    sizes = merged.groupBy(*[quoted(c) for c in groups]).agg(F.count(F.lit(1)).alias("__rows"))
+    found = sizes.agg(
+        F.min("__rows").alias("least"),
+        F.max("__rows").alias("most"),
+        F.sum(F.when(F.col("__rows") > small_rows, F.col("__rows"))).alias("large"),
+    ).first()
+    if found.most <= small_rows:
+        return _whole_groups(merged, value, measures, groups)
+    if found.least > small_rows:
+        return _ranged_groups(merged, value, measures, groups, bucket_count(rows))
+    # Every large group has more than ``small_rows`` rows, so they are few.
+    large = sizes.filter(F.col("__rows") > small_rows).select(
+        *[quoted(c).alias(f"__key{i}") for i, c in enumerate(groups)]
+    )
+    large = F.broadcast(materialise(large, "large_groups"))
+    same = reduce(and_, [quoted(c).eqNullSafe(F.col(f"__key{i}")) for i, c in enumerate(groups)])
+    ranged = merged.join(large, same, "left_semi")
+    small = merged.join(large, same, "left_anti")
+    return _ranged_groups(ranged, value, measures, groups, bucket_count(found.large)).unionByName(
+        _whole_groups(small, value, measures, groups)
+    )
 
 
 def _whole_groups(

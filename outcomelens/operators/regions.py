@@ -1,7 +1,8 @@
 """Per-region metrics joined to region features: the data behind the maps.
 
 Region and metric tables are left to Catalyst and AQE, which broadcast a side only
-when its size is below the session's threshold.
+when its size is below the session's threshold. The scales of layers, one row per model and
+metric, are always broadcast: streamed, they would put all rows of their layers into one task.
 """
 
 from __future__ import annotations
@@ -240,13 +241,14 @@ def grouped_layers(
     held = stack_tables(long).na.drop(subset=["__key", "value"])
     held = materialise(held.join(keyed.select("__key"), "__key", "left_semi"), "layers")
     ranges = held.groupBy(model, "metric").agg(F.min("value").alias("vmin"), F.max("value").alias("vmax"))
-    joined = keyed.join(held.join(ranges, [model, "metric"]), "__key").drop("__key")
     ramp = ramp_column(RATE_RAMP)
     for metric in metrics:
         if metric in LAYER_RAMPS:
             ramp = F.when(F.col("metric") == metric, ramp_column(LAYER_RAMPS[metric])).otherwise(ramp)
-    fill = ramp_fill_from(F.col("value"), F.col("vmin"), F.col("vmax"), ramp)
-    return joined.withColumn("fill", fill)
+    # Values are coloured where they are read, before the join decides how many tasks there are.
+    scaled = held.join(F.broadcast(ranges), [model, "metric"])
+    filled = scaled.withColumn("__fill", ramp_fill_from(F.col("value"), F.col("vmin"), F.col("vmax"), ramp))
+    return keyed.join(filled, "__key").withColumn("fill", F.col("__fill")).drop("__key", "__fill")
 
 
 def feature_columns(features: DataFrame, fields: Mapping[str, str]) -> DataFrame:

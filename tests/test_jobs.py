@@ -108,3 +108,28 @@ def test_combined_file_is_in_order(spark, tmp_path):
     assert [(r.ModelType, r.community_area) for r in rows] == [
         ("a", None), ("a", "1"), ("a", "2"), ("b", None), ("b", "1"), ("b", "2"),
     ]
+
+
+def test_a_ramp_from_a_column_is_computed_once_a_row(spark):
+    """The parts of the colour are named many times in its formula; each repetition would be worked out anew."""
+    df = spark.createDataFrame([(0.3, [[0.0, 0.0, 1.0], [1.0, 0.0, 0.0]])], "v double, ramp array<array<double>>")
+    out = df.select(ramp_fill_from(F.col("v"), F.lit(0.0), F.lit(1.0), F.col("ramp")).alias("fill"))
+    text = out._jdf.queryExecution().analyzed().toString().splitlines()[0]
+    assert text.startswith("Project") and text.count("ramp#") == 1
+    assert out.first().fill == "#4c00b3ff"
+
+
+def test_layers_of_many_shapes_are_spread_over_tasks(spark):
+    """The scales are a row per layer: if these rows are streamed, one task makes all rows of the layers."""
+    features = spark.range(4_000).select(F.col("id").cast("string").alias("region")).repartition(8)
+    table = spark.range(0, 4_000, 1, 8).select(
+        F.col("id").alias("k"), (F.col("id") / 4_000).alias("FP_rate"), (F.col("id") % 7 / 7).alias("FN_rate")
+    )
+    got = grouped_layers(features, {"a": table, "b": table}, "region", "k", ["FP_rate", "FN_rate"])
+    counts = got.groupBy(F.spark_partition_id()).agg(F.count("region").alias("n"), F.max("fill"), F.max("value"))
+    per_task = [r.n for r in counts.collect()]
+    assert sum(per_task) == 16_000 and max(per_task) < 8_000
+    ends = got.filter("metric = 'FP_rate' AND region IN ('0', '3999')").select("region", "vmin", "vmax", "fill").distinct()
+    assert {tuple(r) for r in ends.collect()} == {
+        ("0", 0.0, 3_999 / 4_000, "#fcfbfdff"), ("3999", 0.0, 3_999 / 4_000, "#3f007dff"),
+    }

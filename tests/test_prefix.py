@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pandas as pd
 import pytest
@@ -129,3 +130,32 @@ def test_nan_has_no_rank(spark):
 
     df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (1.0,)], "v double")
     assert [tuple(r) for r in merge_equal(df, "v", {"n": F.lit(1)}).collect()] == [(1.0, 2)]
+
+
+def _by_group(rows):
+    """Sums strictly below and in all, by group and value."""
+    out = {}
+    for key in {k for k, _, _ in rows}:
+        below, total = 0, sum(n for k, _, n in rows if k == key)
+        for _, value, n in sorted(r for r in rows if r[0] == key):
+            out[key, value] = (below, total)
+            below += n
+    return out
+
+
+@pytest.mark.parametrize("large", [[], [("x", None)], [("x", None), (None, 5), ("y", 7)]])
+def test_small_groups_of_a_large_table_are_not_cut(spark, large):
+    """Only groups of more than ``small_rows`` rows go through ranges; null keys are groups as well."""
+    rng = random.Random(len(large))
+    small = [(a, b) for a in ("x", "y", None) for b in (None, *range(40)) if (a, b) not in large]
+    rows = [(k, float(v), rng.randint(0, 5)) for k in small for v in rng.sample(range(100), 9)]
+    rows += [(k, v / 300, rng.randint(0, 5)) for k in large for v in range(300)]
+    df = spark.createDataFrame([(*k, v, n) for k, v, n in rows], "a string, b int, v double, n long")
+    merged = PX.merge_equal(df, "v", {"n": F.col("n")}, ["a", "b"])
+    out = PX.prefix_sums(merged, "v", ["n"], ["a", "b"], small_rows=50)
+    assert out.columns == ["a", "b", "v", "n", "n_below", "n_total"]
+    found = [(((r.a, r.b), r.v), (r.n_below, r.n_total)) for r in out.collect()]
+    assert len(found) == len(rows) and dict(found) == _by_group(rows)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    specs = re.findall(r"windowspecdefinition\(a#\d+, b#\d+, ([a-z_]+)#\d+", plan)
+    assert "v" in specs and ("__range" in specs) == bool(large)
